@@ -9,7 +9,10 @@ RELATION_SEP = "\u0001"
 
 
 def _literal(sep: str) -> str:
-    return f"\\Q{sep}\\E"
+    """The separator as a regular expression; one character is split without a regex engine."""
+    if len(sep) > 1:
+        return f"\\Q{sep}\\E"
+    return f"\\{sep}" if sep in ".$|()[{^?*+\\" else sep
 
 
 def split_all(text: Column, sep: str) -> Column:
@@ -32,6 +35,12 @@ def split_trimmed(text: Column, sep: str) -> Column:
     return F.when(only_separators, F.array().cast("array<string>")).otherwise(split_all(kept, sep))
 
 
+def trimmed_size(pieces: Column, text: Column, sep: str) -> Column:
+    """Size of `split_trimmed(text, sep)`, given all `pieces`; most texts need no second split."""
+    ends_full = F.try_element_at(pieces, F.lit(-1)) != ""
+    return F.when(ends_full, F.size(pieces)).otherwise(F.size(split_trimmed(text, sep)))
+
+
 def printf(fmt: str, *cols: Column) -> Column:
     return F.format_string(fmt, *cols)
 

@@ -13,6 +13,7 @@ from kinspan.functions.numbers import row_count
 from kinspan.functions.text import id_of_row_key, millis_of_row_key
 from kinspan.operators.relations import edge_id
 from kinspan.operators.skew import lookup_join
+from kinspan.session import reliable
 
 
 def incidence(edges: DataFrame) -> DataFrame:
@@ -205,10 +206,9 @@ def incident_edges_summary(keys: DataFrame, summary: DataFrame, events: DataFram
     """-> key, listed, time, value: detail rows of every summary edge at each listed key."""
     ends = incidence(summary.select("src", "dst", "edge_id")).withColumnRenamed("v", "key")
     at_key = lookup_join(ends, listed_keys(keys), "key").select("edge_id", "key", "listed")
-    per_edge = at_key.groupBy("edge_id").agg(
-        # An edge has two ends, so the list has at most two entries.
-        F.collect_list(F.struct("key", "listed")).alias("_ends")
-    )
+    # An edge has two ends, so its list has at most two entries.
+    ends_of_edge = F.collect_list(F.struct("key", "listed")).alias("_ends")
+    per_edge = reliable(at_key.groupBy("edge_id").agg(ends_of_edge))
     return (
         lookup_join(events, per_edge, "edge_id")
         .select("time", "value", F.explode("_ends").alias("_end"))

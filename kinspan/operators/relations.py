@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinspan.functions.text import RELATION_SEP, split_all, split_trimmed
+from kinspan.functions.text import RELATION_SEP, split_all, trimmed_size
 from kinspan.functions.times import parse_millis
+from kinspan.operators.rows import select_where
 from kinspan.operators.skew import fits_broadcast, skew_join
 from kinspan.session import reliable
 
@@ -18,9 +19,6 @@ NOT_ENOUGH_FIELDS = "not enough fields"
 KEY1_NOT_FOUND = "key1 not found"
 KEY2_NOT_FOUND = "key2 not found"
 
-# Copies of one record that a single task writes out.
-COPIES_PER_TASK = 1_000_000
-
 
 def parse_relations(
     lines: DataFrame,
@@ -30,13 +28,12 @@ def parse_relations(
     sep: str = RELATION_SEP,
 ) -> DataFrame:
     """`value` lines -> raw, fields, field_count, key1, key2, time_text."""
-    fields = lines.select(
-        F.col("value").alias("raw"),
-        split_all(F.col("value"), sep).alias("fields"),
-        F.size(split_trimmed(F.col("value"), sep)).alias("field_count"),
+    pieces = lines.select(
+        F.col("value").alias("raw"), split_all(F.col("value"), sep).alias("fields")
     )
-    return fields.select(
+    return pieces.select(
         "*",
+        trimmed_size(F.col("fields"), F.col("raw"), sep).alias("field_count"),
         F.get("fields", F.lit(key1_idx)).alias("key1"),
         F.get("fields", F.lit(key2_idx)).alias("key2"),
         F.get("fields", F.lit(time_idx)).alias("time_text"),
@@ -135,12 +132,13 @@ def canonical_edges(relations: DataFrame, sep: str = RELATION_SEP, half: int = H
 
     Only lines of two whole halves take part. `time` stays the time of the original line.
     """
-    whole = relations.filter(F.size("fields") == 2 * half)
     keep = F.col("key1") < F.col("key2")
     swapped = F.array_join(
         F.concat(F.slice("fields", half + 1, half), F.slice("fields", 1, half)), sep
     )
-    return whole.select(
+    return select_where(
+        relations,
+        F.size("fields") == 2 * half,
         F.least("key1", "key2").alias("k1"),
         F.greatest("key1", "key2").alias("k2"),
         F.col("time_text").alias("time"),
@@ -151,23 +149,12 @@ def canonical_edges(relations: DataFrame, sep: str = RELATION_SEP, half: int = H
 def sort_edges(canonical: DataFrame) -> DataFrame:
     """All records in the order of (k1, k2, time), duplicates kept.
 
-    Exact copies are counted before the range shuffle and written out again after it, in pieces,
-    so that a record with very many copies is neither shuffled nor written by one task.
+    The line and the map partition break ties, so that the ranges can also cut a run of records
+    with one key, or of exact copies, which one task would otherwise have to sort alone.
     """
     columns = ["k1", "k2", "time", "raw"]
-    pieces = F.ceil(F.col("_n") / COPIES_PER_TASK).cast("int")
-    copies = F.least(
-        F.lit(COPIES_PER_TASK), F.col("_n") - F.col("_piece").cast("bigint") * COPIES_PER_TASK
-    )
-    return (
-        canonical.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .withColumn("_copies", copies.cast("int"))
-        .orderBy(*columns, "_piece")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*columns)
-    )
+    placed = canonical.withColumn("_part", F.spark_partition_id())
+    return placed.orderBy(*columns, "_part").select(*columns)
 
 
 def sort_duplicates(canonical: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Joins that hold when one key owns a large share of the rows.
 
-A side is broadcast only after its rows and bytes were counted. Otherwise the join shuffles, and
-the keys with more rows than one task should get are spread over several salts. Salts come from
-the row's own content and its map partition, never from `rand`, so that a task that runs again
-after an executor was lost sends each row to the same place.
+A side is broadcast only after its rows and bytes were counted. Otherwise the join shuffles: the
+rows per key are counted first, and if there are keys with more rows than one task should get,
+these are spread over several salts. Salts come from the row's own content and its map partition,
+never from `rand`, so that a task that runs again after an executor was lost sends each row to the
+same place.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
-# Bounds the broadcast list of hot keys. Keys beyond it keep one salt; each of them holds
-# less than one part in MAX_HOT_KEYS of the rows.
-MAX_HOT_KEYS = 100_000
+# Bounds the list of hot keys that the driver hands to the executors. Keys beyond it keep one
+# salt; each of them holds less than one part in MAX_HOT_KEYS of the rows.
+MAX_HOT_KEYS = 10_000
 NULL_SALTS = 1024
 
 _SPLIT, _COPY = "_split", "_copy"
@@ -47,13 +49,15 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def _hot(counts: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame:
-    return (
+def _hot_keys(counts: DataFrame, on: Sequence[str], hot_rows: int) -> dict[tuple, int]:
+    """Hot key -> number of salts, for the at most MAX_HOT_KEYS hottest keys."""
+    hottest = (
         counts.filter(F.col("_rows") > hot_rows)
         .orderBy(F.col("_rows").desc(), *on)
         .limit(MAX_HOT_KEYS)
-        .select(*on, (F.lit(1) + F.floor(F.col("_rows") / hot_rows)).cast("int").alias("_n"))
+        .select(*on, "_rows")
     )
+    return {tuple(row[c] for c in on): 1 + row["_rows"] // hot_rows for row in hottest.collect()}
 
 
 def _salt(df: DataFrame, on: Sequence[str], parts: Column) -> Column:
@@ -81,36 +85,42 @@ def skew_join(
 
     A hot key's left rows are split over salts and its right rows copied to each of them. With
     `right_unique=False` (inner joins only) hot right keys are split likewise, so that a task gets
-    at most `hot_rows` rows of a key from each side. `left_counts` (`on`, `_rows`) saves counting.
+    about `hot_rows` rows of a key from each side. `left_counts` (`on`, `_rows`) saves counting.
     """
     on = [on] if isinstance(on, str) else list(on)
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if not right_unique and how != "inner":
         raise ValueError("only inner joins can split both sides")
     counts = key_counts(left, on) if left_counts is None else left_counts
-    hot = _hot(counts, on, hot_rows).withColumnRenamed("_n", "_nl").withColumn("_nr", F.lit(1))
-    if not right_unique:
-        hot_right = _hot(key_counts(right, on), on, hot_rows).withColumnRenamed("_n", "_nr")
-        hot = (
-            hot.unionByName(hot_right.withColumn("_nl", F.lit(1)))
-            .groupBy(*on)
-            .agg(F.max("_nl").alias("_nl"), F.max("_nr").alias("_nr"))
-        )
-    hot = F.broadcast(hot)
+    hot_left = _hot_keys(counts, on, hot_rows)
+    hot_right = {} if right_unique else _hot_keys(key_counts(right, on), on, hot_rows)
+    if not hot_left and not hot_right:
+        return left.join(right, on, how)
+
+    schema = T.StructType(
+        [T.StructField(c, left.schema[c].dataType) for c in on]
+        + [T.StructField("_nl", T.IntegerType()), T.StructField("_nr", T.IntegerType())]
+    )
+    rows = [
+        (*key, hot_left.get(key, 1), hot_right.get(key, 1))
+        for key in hot_left.keys() | hot_right.keys()
+        if None not in key
+    ]
+    hot = F.broadcast(left.sparkSession.createDataFrame(rows, schema))
     n_left, n_right = F.coalesce("_nl", F.lit(1)), F.coalesce("_nr", F.lit(1))
 
-    left_cols, right_cols = left.columns, right.columns
     lefts = left.join(hot, on, "left").withColumn(_SPLIT, _salt(left, on, n_left))
     rights = right.join(hot, on, "left").withColumn(_SPLIT, _copies(n_left))
-    keys = [*on, _SPLIT]
-    if not right_unique:
+    salts = [_SPLIT]
+    if hot_right:
         lefts = lefts.withColumn(_COPY, _copies(n_right))
         rights = rights.withColumn(_COPY, _salt(right, on, n_right))
-        keys.append(_COPY)
-    joined = lefts.select(*left_cols, *keys[len(on):]).join(
-        rights.select(*right_cols, *keys[len(on):]), keys, how
+        salts.append(_COPY)
+    return (
+        lefts.select(*left.columns, *salts)
+        .join(rights.select(*right.columns, *salts), [*on, *salts], how)
+        .drop(*salts)
     )
-    return joined.drop(_SPLIT, _COPY)
 
 
 def lookup_join(

@@ -10,6 +10,7 @@ from kinspan.operators import relations as R
 from kinspan.operators import traversal as T
 from kinspan.plans import inputs as I
 from kinspan.plans.registry import query
+from kinspan.session import reliable
 
 
 @query(f"WITH {I.GRAPH_SQL} SELECT key, degree FROM degrees")
@@ -132,7 +133,8 @@ events2 AS (
 
 
 def _two_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    valid = I.valid(spark, sf_dir)
+    """The stored summary edges and detail rows that the lookups start from."""
+    valid = reliable(I.valid(spark, sf_dir))
     return R.summary_edges(valid, I.LABEL), R.pair_events(valid, I.LABEL, 1)
 
 

@@ -19,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than the session has cores.
+
+    A table of many files has many splits and is left alone, so nothing large is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_of(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -65,7 +74,8 @@ def relation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [special.get(i, F.lit(f"f{i}")) for i in range(FIELDS)]
     whole = F.concat_ws(RELATION_SEP, *fields)
     short = F.concat_ws(RELATION_SEP, *fields[:10])
-    return supply(spark, sf_dir).select(F.when(F.col("tax") == 0.08, short).otherwise(whole).alias("value"))
+    records = spread(supply(spark, sf_dir), "order", "line")
+    return records.select(F.when(F.col("tax") == 0.08, short).otherwise(whole).alias("value"))
 
 
 def _line_sql(count: int) -> str:

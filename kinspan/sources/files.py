@@ -26,7 +26,7 @@ def orc_long_values(df: DataFrame, row: str | None = None) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """-> path, kind, length, modified of every file; contents are not read."""
+    """-> path, kind, length, modified of every file that is not empty; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())

@@ -16,6 +16,7 @@ from kinspan.operators.relations import (
     TIME_INDEX,
     parse_relations,
 )
+from kinspan.operators.rows import select_where
 
 # Vertex fields by position (fixed values).
 VERTEX_FIELDS = (
@@ -76,8 +77,11 @@ def parse_vertex_pairs(
 ) -> DataFrame:
     """`value` lines -> key, name; lines that end before either are dropped."""
     cut = lines.select(split_trimmed(F.col("value"), sep).alias("_f"))
-    return cut.filter(F.size("_f") > max(key_idx, name_idx)).select(
-        F.get("_f", F.lit(key_idx)).alias("key"), F.get("_f", F.lit(name_idx)).alias("name")
+    return select_where(
+        cut,
+        F.size("_f") > max(key_idx, name_idx),
+        F.get("_f", F.lit(key_idx)).alias("key"),
+        F.get("_f", F.lit(name_idx)).alias("name"),
     )
 
 
@@ -129,9 +133,10 @@ def read_pairs(spark: SparkSession, path: str | list[str], sep: str = RELATION_S
 
 def parse_cells(lines: DataFrame, sep: str = ",") -> DataFrame:
     """`value` lines -> row_key, family, qualifier, value; lines without exactly 4 fields are dropped."""
-    cut = lines.select(split_trimmed(F.col("value"), sep).alias("_f")).filter(F.size("_f") == 4)
+    cut = lines.select(split_trimmed(F.col("value"), sep).alias("_f"))
     names = ["row_key", "family", "qualifier", "value"]
-    return cut.select(*(F.get("_f", F.lit(i)).alias(name) for i, name in enumerate(names)))
+    columns = [F.get("_f", F.lit(i)).alias(name) for i, name in enumerate(names)]
+    return select_where(cut, F.size("_f") == len(names), *columns)
 
 
 def read_cells(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
