@@ -212,40 +212,56 @@ def summary_edges(valid: DataFrame, label: str, existing: DataFrame | None = Non
 def pair_events(valid: DataFrame, label: str, times: int = 100) -> DataFrame:
     """-> edge_id, time, value: `times` detail rows per record, one millisecond apart.
 
-    Records that hit the same (edge_id, time) leave one row, the greatest value. Records are
-    collapsed first; then each goes to the one or two windows of `times` ms that it reaches, and
-    the fan-out happens inside a window. So a record is shuffled at most three times in all, not
-    `times` times, and a window holds at most 2 * `times` records however hot the pair is.
+    Records that hit the same (edge_id, time) leave one row, the greatest value. Records of one
+    time are collapsed first; then each goes to the one or two windows of `times` ms that it
+    reaches, and the fan-out happens inside a window, after the shuffle. So a record moves at most
+    three times in all, not `times` times, and a window lists fewer than 2 * `times` records
+    however hot the pair is.
     """
     base = (
         valid.select(
             edge_id(F.col("key1"), F.col("key2"), F.lit(label)).alias("edge_id"),
-            F.col("time_ms").alias("_base"),
+            F.col("time_ms").alias("start"),
             "raw",
         )
-        .groupBy("edge_id", "_base")
+        .groupBy("edge_id", "start")
         .agg(F.max("raw").alias("value"))
     )
     if times == 1:
-        return base.select("edge_id", F.col("_base").alias("time"), "value")
-    start = F.floor(F.col("_base") / times)
-    end = F.floor((F.col("_base") + (times - 1)) / times)
+        return base.select("edge_id", F.col("start").alias("time"), "value")
+    last = times - 1
+    first_window = F.floor(F.col("start") / times)
+    last_window = F.floor((F.col("start") + last) / times)
+    windows = (
+        base.withColumn("_window", F.explode(F.sequence(first_window, last_window)))
+        .groupBy("edge_id", "_window")
+        .agg(
+            F.collect_list(F.struct("start", "value")).alias("_records"),
+            F.min("start").alias("_min"),
+            F.max("start").alias("_max"),
+        )
+    )
     window_start = F.col("_window") * times
+    span = F.sequence(
+        F.greatest(F.col("_min"), window_start), F.least(F.col("_max") + last, window_start + last)
+    )
+
+    def covers(record: Column) -> Column:
+        return (F.col("time") - record["start"]).between(0, last)
+
+    # A window of one record, the usual case, needs no comparison of records.
+    alone = F.size("_records") == 1
+    covering = F.transform(F.filter("_records", covers), lambda record: record["value"])
     return (
-        base.withColumn("_window", F.explode(F.sequence(start, end)))
-        .repartition("edge_id", "_window")
-        .withColumn(
+        windows.withColumn("time", F.explode(span))
+        .filter(alone | F.exists("_records", covers))
+        .select(
+            "edge_id",
             "time",
-            F.explode(
-                F.sequence(
-                    F.greatest(F.col("_base"), window_start),
-                    F.least(F.col("_base") + (times - 1), window_start + (times - 1)),
-                )
-            ),
+            F.when(alone, F.get("_records", F.lit(0))["value"])
+            .otherwise(F.array_max(covering))
+            .alias("value"),
         )
-        .groupBy("edge_id", "_window", "time")
-        .agg(F.max("value").alias("value"))
-        .select("edge_id", "time", "value")
     )
 
 
