@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinspan.functions.numbers import row_count
-from kinspan.operators.skew import lookup_join
+from kinspan.operators.skew import lookup_join, only_listed
+from kinspan.session import reliable
 
 CELL_KEY = ["row_key", "family", "qualifier"]
 
@@ -45,12 +46,8 @@ def rows_with_columns(cells: DataFrame, columns: Sequence[tuple[str, str]]) -> D
     wanted = [_column(family, qualifier) for family, qualifier in columns]
     has = [F.bool_or(test).alias(f"_has{i}") for i, test in enumerate(wanted)]
     candidates = cells.filter(reduce(lambda x, y: x | y, wanted))
-    rows = (
-        candidates.groupBy("row_key")
-        .agg(*has)
-        .filter(reduce(lambda x, y: x & y, (F.col(f"_has{i}") for i in range(len(wanted)))))
-        .select("row_key")
-    )
+    has_all = reduce(lambda x, y: x & y, (F.col(f"_has{i}") for i in range(len(wanted))))
+    rows = reliable(candidates.groupBy("row_key").agg(*has).filter(has_all).select("row_key"))
     return lookup_join(cells, rows, "row_key", "left_semi").select(*CELL_KEY, "value")
 
 
@@ -142,10 +139,11 @@ def batch_get(keys: DataFrame, cells: DataFrame, batch: int) -> DataFrame:
 
     The last batch may be short and is kept.
     """
-    present = row_keys(cells).select(F.col("row_key").alias("key"), F.lit(True).alias("_found"))
+    stored = cells.select(F.col("row_key").alias("key"))
+    present = only_listed(stored, keys, "key").distinct().withColumn("_found", F.lit(True))
     numbered = keys.select(F.floor(F.col("seq") / batch).cast("bigint").alias("batch_id"), "key")
     return (
-        lookup_join(numbered, present, "key", "left")
+        lookup_join(numbered, reliable(present), "key", "left")
         .groupBy("batch_id")
         .agg(row_count().alias("requested"), F.count("_found").alias("found"))
     )
@@ -166,11 +164,9 @@ def range_counts(ids: DataFrame, cells: DataFrame) -> DataFrame:
 
     ends = F.filter(F.sequence(F.lit(1), F.length(key)), next_is_low)
     prefixes = F.transform(ends, lambda end: F.substr(key, F.lit(1), end))
+    offered = row_keys(cells.filter(F.length(key) > 0)).select(F.explode(prefixes).alias("id"))
     counts = (
-        row_keys(cells.filter(F.length(key) > 0))
-        .select(F.explode(prefixes).alias("id"))
-        .groupBy("id")
-        .agg(row_count().alias("row_count"))
+        only_listed(offered, distinct_ids, "id").groupBy("id").agg(row_count().alias("row_count"))
     )
     return distinct_ids.join(counts, "id", "left").select(
         "id", F.coalesce("row_count", F.lit(0)).alias("row_count")

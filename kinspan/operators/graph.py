@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kinspan.functions.numbers import row_count
 from kinspan.functions.text import id_of_row_key, millis_of_row_key
 from kinspan.operators.relations import edge_id
-from kinspan.operators.skew import lookup_join
+from kinspan.operators.skew import lookup_join, only_listed
 from kinspan.session import reliable
 
 
@@ -24,11 +24,14 @@ def incidence(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(F.array(out, back)))
 
 
+def _unordered(edges: DataFrame) -> DataFrame:
+    """-> a, b: the ends of each edge, a <= b."""
+    return edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+
+
 def simple_pairs(edges: DataFrame) -> DataFrame:
     """-> a, b: each joined pair once, a <= b."""
-    return edges.select(
-        F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
-    ).distinct()
+    return _unordered(edges).distinct()
 
 
 def neighbors(edges: DataFrame) -> DataFrame:
@@ -49,10 +52,14 @@ def edges_between(edges: DataFrame, key: str, other: str) -> DataFrame:
     return incidence(edges).filter((F.col("v") == key) & (F.col("other") == other))
 
 
+def edge_ends(edges: DataFrame) -> DataFrame:
+    """-> key, once for each end of each edge."""
+    return edges.select(F.explode(F.array("src", "dst")).alias("key"))
+
+
 def degrees(edges: DataFrame) -> DataFrame:
     """-> key, degree: number of edge ends at each vertex that has any."""
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("key"))
-    return ends.groupBy("key").agg(row_count().alias("degree"))
+    return edge_ends(edges).groupBy("key").agg(row_count().alias("degree"))
 
 
 def degree_distribution(edges: DataFrame) -> DataFrame:
@@ -93,11 +100,12 @@ def listed_keys(keys: DataFrame) -> DataFrame:
 
 def _listed_vertices(keys: DataFrame, vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """-> key, listed, n_vertices, degree; all sides have one row per key when they are joined."""
-    per_key = vertices.groupBy("key").agg(row_count().alias("n_vertices"))
+    listed = listed_keys(keys)
+    per_key = only_listed(vertices.select("key"), listed, "key").groupBy("key")
+    ends = only_listed(edge_ends(edges), listed, "key").groupBy("key")
     return (
-        listed_keys(keys)
-        .join(per_key, "key", "left")
-        .join(degrees(edges), "key", "left")
+        listed.join(per_key.agg(row_count().alias("n_vertices")), "key", "left")
+        .join(ends.agg(row_count().alias("degree")), "key", "left")
         .fillna(0, ["n_vertices", "degree"])
     )
 
@@ -149,13 +157,14 @@ def pair_lookup_raw(pairs: DataFrame, edges: DataFrame, label: str | None = None
     Edges are counted per pair before the join, so a pair with very many edges is one row in it.
     """
     wanted = edges if label is None else edges.filter(F.col("label") == label)
-    per_pair = wanted.groupBy(
-        F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
-    ).agg(row_count().alias("edge_count"))
-    return (
-        listed_pairs(pairs)
-        .join(per_pair, ["a", "b"], "left")
-        .select("key1", "key2", "listed", F.coalesce("edge_count", F.lit(0)).alias("edge_count"))
+    listed = listed_pairs(pairs)
+    per_pair = (
+        only_listed(_unordered(wanted), listed, ["a", "b"])
+        .groupBy("a", "b")
+        .agg(row_count().alias("edge_count"))
+    )
+    return listed.join(per_pair, ["a", "b"], "left").select(
+        "key1", "key2", "listed", F.coalesce("edge_count", F.lit(0)).alias("edge_count")
     )
 
 
@@ -163,13 +172,17 @@ def pair_lookup_summary(
     pairs: DataFrame, summary: DataFrame, events: DataFrame, label: str
 ) -> DataFrame:
     """-> key1, key2, listed, edge_count: detail rows of the pair's summary edge, 0 without one."""
-    per_edge = events.groupBy("edge_id").agg(row_count().alias("edge_count"))
-    stored = summary.filter(F.col("label") == label).select("edge_id").join(per_edge, "edge_id")
-    return (
-        listed_pairs(pairs)
-        .withColumn("edge_id", edge_id(F.col("key1"), F.col("key2"), F.lit(label)))
-        .join(stored, "edge_id", "left")
-        .select("key1", "key2", "listed", F.coalesce("edge_count", F.lit(0)).alias("edge_count"))
+    id_of_pair = edge_id(F.col("key1"), F.col("key2"), F.lit(label))
+    listed = listed_pairs(pairs).withColumn("edge_id", id_of_pair)
+    stored = summary.filter(F.col("label") == label).select("edge_id")
+    per_edge = (
+        only_listed(events.select("edge_id"), listed, "edge_id")
+        .groupBy("edge_id")
+        .agg(row_count().alias("edge_count"))
+        .join(stored, "edge_id", "left_semi")
+    )
+    return listed.join(per_edge, "edge_id", "left").select(
+        "key1", "key2", "listed", F.coalesce("edge_count", F.lit(0)).alias("edge_count")
     )
 
 
@@ -182,11 +195,10 @@ def selected_edges(lookups: DataFrame) -> DataFrame:
 
 def pair_exists(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     """-> key1, key2, found for each distinct pair of the list."""
-    joined = simple_pairs(edges).withColumn("_found", F.lit(True))
-    return (
-        listed_pairs(pairs)
-        .join(joined, ["a", "b"], "left")
-        .select("key1", "key2", F.coalesce("_found", F.lit(False)).alias("found"))
+    listed = listed_pairs(pairs)
+    joined = only_listed(_unordered(edges), listed, ["a", "b"]).distinct()
+    return listed.join(joined.withColumn("_found", F.lit(True)), ["a", "b"], "left").select(
+        "key1", "key2", F.coalesce("_found", F.lit(False)).alias("found")
     )
 
 
@@ -253,9 +265,14 @@ def _properties(vertices: DataFrame) -> DataFrame:
 
 def vertex_profile(vertices: DataFrame, edges: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """-> key, property_count, edge_count for the listed vertices, or all."""
-    wanted = vertices if keys is None else vertices.join(keys.select("key").distinct(), "key", "left_semi")
-    counted = _properties(wanted).groupBy("key").agg(row_count().alias("property_count"))
-    return counted.join(degrees(edges), "key", "left").select(
+    ends = edge_ends(edges)
+    if keys is not None:
+        listed = keys.select("key").distinct()
+        vertices = lookup_join(vertices, listed, "key", "left_semi")
+        ends = only_listed(ends, listed, "key")
+    counted = _properties(vertices).groupBy("key").agg(row_count().alias("property_count"))
+    degree = ends.groupBy("key").agg(row_count().alias("degree"))
+    return counted.join(degree, "key", "left").select(
         "key", "property_count", F.coalesce("degree", F.lit(0)).alias("edge_count")
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinspan.functions.text import RELATION_SEP, split_all, trimmed_size
 from kinspan.functions.times import parse_millis
 from kinspan.operators.rows import select_where
-from kinspan.operators.skew import fits_broadcast, skew_join
+from kinspan.operators.skew import fits_broadcast, key_counts, skew_join
 from kinspan.session import reliable
 
 # Layout of a relation line (fixed values): two halves of 19 fields each.
@@ -46,13 +46,6 @@ def mark_short_lines(relations: DataFrame, last_index: int = KEY2_INDEX) -> Data
     return relations.withColumn("reject_reason", F.when(short, F.lit(NOT_ENOUGH_FIELDS)))
 
 
-def _flag_known(records: DataFrame, keys: DataFrame, small: bool, column: str, flag: str) -> DataFrame:
-    side = keys.select(F.col("key").alias(column), F.lit(True).alias(flag))
-    if small:
-        return records.join(F.broadcast(side), column, "left")
-    return skew_join(records, side, column, "left")
-
-
 def mark_unknown_endpoints(records: DataFrame, vertices: DataFrame) -> DataFrame:
     """Set `reject_reason` where key1, else key2, is not the key of a vertex.
 
@@ -73,8 +66,15 @@ def mark_unknown_endpoints(records: DataFrame, vertices: DataFrame) -> DataFrame
         found = False
         small = fits_broadcast(marked)
     columns = records.columns
-    flagged = _flag_known(records, marked, small, "key1", "_in1")
-    flagged = _flag_known(flagged, marked, small, "key2", "_in2")
+    flagged = records
+    for column, flag in (("key1", "_in1"), ("key2", "_in2")):
+        side = marked.select(F.col("key").alias(column), F.lit(True).alias(flag))
+        if small:
+            flagged = flagged.join(F.broadcast(side), column, "left")
+        else:
+            # Counted before the joins, so that the second does not run the first twice.
+            counts = key_counts(records, [column])
+            flagged = skew_join(flagged, side, column, "left", left_counts=counts)
     in1, in2 = F.coalesce("_in1", F.lit(False)), F.coalesce("_in2", F.lit(False))
     reason = (
         F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))

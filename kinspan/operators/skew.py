@@ -28,21 +28,34 @@ NULL_SALTS = 1024
 _SPLIT, _COPY = "_split", "_copy"
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
-) -> bool:
-    """Whether the whole of `df` is small enough to broadcast; reads at most `max_rows` + 1 rows."""
-    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes of `df`. One scan, partly summed per task."""
     width = reduce(
         add, (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns)
     )
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)))
-        .first()
+    total = F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), total).first()
+    return rows, size
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
+) -> bool:
+    """Whether `df`, counted in full, is small enough to broadcast."""
+    rows, size = measured(df)
+    return rows <= (BROADCAST_ROWS if max_rows is None else max_rows) and size <= (
+        BROADCAST_BYTES if max_bytes is None else max_bytes
     )
-    return rows <= max_rows and size <= max_bytes
+
+
+def only_listed(facts: DataFrame, listed: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """`facts` without the rows whose key is not in `listed`, if that list was measured small.
+
+    Spares a shuffle of rows that a later join drops; a long list leaves them to that join.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    keys = listed.select(*on)
+    return facts.join(F.broadcast(keys), on, "left_semi") if fits_broadcast(keys) else facts
 
 
 def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -79,20 +92,26 @@ def skew_join(
     how: str = "inner",
     hot_rows: int | None = None,
     left_counts: DataFrame | None = None,
+    left_rows: int | None = None,
     right_unique: bool = True,
 ) -> DataFrame:
     """Equi-join in which a hot key is shared out over many tasks.
 
     A hot key's left rows are split over salts and its right rows copied to each of them. With
     `right_unique=False` (inner joins only) hot right keys are split likewise, so that a task gets
-    about `hot_rows` rows of a key from each side. `left_counts` (`on`, `_rows`) saves counting.
+    about `hot_rows` rows of a key from each side. `left_counts` (`on`, `_rows`) saves counting; the
+    counts may be too high. So does `left_rows`, the number of left rows, where they are too few
+    for any key to be hot.
     """
     on = [on] if isinstance(on, str) else list(on)
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if not right_unique and how != "inner":
         raise ValueError("only inner joins can split both sides")
-    counts = key_counts(left, on) if left_counts is None else left_counts
-    hot_left = _hot_keys(counts, on, hot_rows)
+    if left_rows is not None and left_rows <= hot_rows:
+        hot_left = {}
+    else:
+        counts = key_counts(left, on) if left_counts is None else left_counts
+        hot_left = _hot_keys(counts, on, hot_rows)
     hot_right = {} if right_unique else _hot_keys(key_counts(right, on), on, hot_rows)
     if not hot_left and not hot_right:
         return left.join(right, on, how)
@@ -129,9 +148,10 @@ def lookup_join(
     on: str | Sequence[str],
     how: str = "inner",
     hot_rows: int | None = None,
+    left_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a side with one row per key: broadcast if it was measured small, else salted."""
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim):
         return facts.join(F.broadcast(dim), on, how)
-    return skew_join(facts, dim, on, how, hot_rows)
+    return skew_join(facts, dim, on, how, hot_rows, left_counts)

@@ -141,6 +141,11 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supply graph for queries that do much work per edge."""
+    return spread(edges(spark, sf_dir), "src", "dst")
+
+
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """-> key, name, brand, kind, size: the vertices of the supply graph."""
     return table(spark, sf_dir, "part").select(

@@ -15,6 +15,8 @@ def session(app: str = "kinspan", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Hash instead of sort for a shuffled join whose smaller side turned out to fit each task.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -131,9 +131,9 @@ def random_graph(seed):
 
 
 @pytest.mark.parametrize("drop_loops", [False, True])
-@pytest.mark.parametrize("group_rows", [10_000, 3])
-def test_clustering_against_brute_force(spark, monkeypatch, drop_loops, group_rows):
-    monkeypatch.setattr(T, "FEW_SEEDS", 1)
+@pytest.mark.parametrize(("group_rows", "few"), [(10_000, 1), (3, 100)])
+def test_clustering_against_brute_force(spark, monkeypatch, drop_loops, group_rows, few):
+    monkeypatch.setattr(T, "FEW_SEEDS", few)
     names, pairs = random_graph(5)
     graph, vertices = edges(spark, *pairs), keys(spark, *names, "alone")
     for seeds in ([*names, "alone"], ["n0", "n3", "n3", "unknown"]):
