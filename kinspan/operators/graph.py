@@ -205,7 +205,8 @@ def pair_exists(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 def missing_keys(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
     """-> key: listed endpoints that are not the key of a vertex, for callers that stop on them."""
     listed = pairs.select(F.explode(F.array("key1", "key2")).alias("key")).distinct()
-    return listed.join(vertices.select("key").distinct(), "key", "left_anti")
+    known = only_listed(vertices.select("key"), listed, "key").distinct()
+    return listed.join(known, "key", "left_anti")
 
 
 def incident_edges_raw(keys: DataFrame, edges: DataFrame) -> DataFrame:

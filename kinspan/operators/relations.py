@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinspan.functions.text import RELATION_SEP, split_all, trimmed_size
 from kinspan.functions.times import parse_millis
 from kinspan.operators.rows import select_where
-from kinspan.operators.skew import fits_broadcast, key_counts, skew_join
+from kinspan.operators.skew import fits_broadcast, key_counts, only_listed, skew_join
 from kinspan.session import reliable
 
 # Layout of a relation line (fixed values): two halves of 19 fields each.
@@ -288,12 +288,13 @@ def load_vertices(
         for c, kind in incoming.dtypes
         if c != "label"
     ]
+    present = only_listed(existing.select("key"), incoming, "key").distinct()
     fresh = (
         incoming.filter(F.col("key").isNotNull())
         .groupBy("key")
         .agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("_first"))
         .select("_first.*")
-        .join(existing.select("key").distinct(), "key", "left_anti")
+        .join(present, "key", "left_anti")
         .withColumn("label", F.lit(label))
     )
     return existing.unionByName(fresh, allowMissingColumns=True)
@@ -304,7 +305,8 @@ def vertex_load_report(parsed: DataFrame, existing: DataFrame) -> DataFrame:
     bad = F.count_if(F.col("reject_reason").isNotNull())
     good = F.count_if(F.col("reject_reason").isNull())
     per_key = parsed.groupBy("key").agg(bad.alias("bad"), good.alias("good"))
-    known = existing.select("key", F.lit(True).alias("_known")).distinct()
+    present = only_listed(existing.select("key"), parsed, "key").distinct()
+    known = present.withColumn("_known", F.lit(True))
     new = (F.col("good") > 0) & F.col("_known").isNull() & F.col("key").isNotNull()
     totals = per_key.join(known, "key", "left").agg(
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_lines"),

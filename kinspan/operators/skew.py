@@ -142,6 +142,27 @@ def skew_join(
     )
 
 
+def repartition_by(df: DataFrame, on: str, hot_rows: int | None = None) -> DataFrame:
+    """`df` hash-partitioned by `on`, except that hot keys are split over several partitions.
+
+    The number of partitions is fixed: it is for rows that multiply afterwards, whose size now
+    would mislead adaptive execution into few partitions.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    hot = _hot_keys(key_counts(df, [on]), [on], hot_rows)
+    if not hot:
+        return df.repartition(partitions, on)
+    schema = T.StructType(
+        [T.StructField(on, df.schema[on].dataType), T.StructField("_n", T.IntegerType())]
+    )
+    parts = df.sparkSession.createDataFrame([(*key, n) for key, n in hot.items()], schema)
+    salted = df.join(F.broadcast(parts), on, "left").withColumn(
+        _SPLIT, _salt(df, [on], F.coalesce("_n", F.lit(1)))
+    )
+    return salted.repartition(partitions, on, _SPLIT).select(*df.columns)
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
