@@ -16,21 +16,6 @@ from kinspan.sinks import files as K
 from kinspan.sources import files as P
 from kinspan.sources import text as X
 
-VERTEX_WIDTH = len(X.VERTEX_FIELDS)
-
-
-def _vertex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A line per customer: overdrawn ones lack a name, BUILDING ones are one column only."""
-    fields = [F.lit(f"v{i}") for i in range(VERTEX_WIDTH)]
-    fields[1] = F.when(F.col("c_acctbal") < 0, "null").otherwise(F.col("c_name"))
-    fields[5] = I.text_of("c_custkey")
-    fields += [F.col("c_mktsegment"), F.lit("NULL"), I.text_of("c_nationkey")]
-    line = F.concat_ws("\t", *fields)
-    short = I.text_of("c_custkey")
-    return I.table(spark, sf_dir, "customer").select(
-        F.when(F.col("c_mktsegment") == "BUILDING", short).otherwise(line).alias("value")
-    )
-
 
 @query(
     """SELECT CASE WHEN short THEN CAST(c_custkey AS VARCHAR) ELSE 'v0' END AS bjdrybh,
@@ -45,7 +30,7 @@ def _vertex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def read_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "vertex_lines")
-    _vertex_lines(spark, sf_dir).write.text(path)
+    I.vertex_lines(spark, sf_dir).write.text(path)
     return X.read_vertices(spark, path).select(
         "bjdrybh",
         "xm",
@@ -74,15 +59,23 @@ def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT (row_number() OVER (ORDER BY k)) - 1 AS seq, k AS key FROM (
-    SELECT DISTINCT CAST(event_id AS VARCHAR) AS k FROM events)"""
+    """SELECT i // 100 AS batch_id, count(*) AS lines, min(i) AS first_seq, max(i) AS last_seq
+    FROM range(0, (SELECT count(*) FROM events)) r(i) GROUP BY i // 100"""
 )
 def read_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files in key ranges, sorted inside, number the keys in order."""
+    """The line numbers of a key list over several files, by batches of 100 lines."""
     path = fresh_path(spark, "keys")
-    keys = I.table(spark, sf_dir, "events").select(I.text_of("event_id").alias("key"))
-    keys.repartitionByRange(1, "key").sortWithinPartitions("key").write.text(path)
-    return X.read_keys(spark, path)
+    keys = I.table(spark, sf_dir, "events").select(I.text_of("user_id").alias("key"))
+    I.spread(keys, "key").write.text(path)
+    return (
+        X.read_keys(spark, path)
+        .groupBy(F.floor(F.col("seq") / 100).alias("batch_id"))
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.min("seq").alias("first_seq"),
+            F.max("seq").alias("last_seq"),
+        )
+    )
 
 
 @query(f"WITH {I.DOCUMENT_LINES_SQL} SELECT value, count(*) AS n FROM document_lines GROUP BY value")

@@ -38,10 +38,10 @@ def neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {I.GRAPH_SQL} SELECT v, other, label, time, value FROM incidence
-    WHERE v = '7' AND other = '11'"""
+    WHERE v = '7' AND other = '154'"""
 )
 def edges_between(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.edges_between(I.edges(spark, sf_dir), "7", "11")
+    return G.edges_between(I.edges(spark, sf_dir), "7", "154")
 
 
 @query(
@@ -245,7 +245,7 @@ def vertex_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two hops along sales from every supplier."""
     return T.k_hop(
-        I.supplier_keys(spark, sf_dir), I.parts(spark, sf_dir), I.spread_edges(spark, sf_dir), 2, "sale"
+        I.supplier_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), 2, "sale"
     )
 
 
@@ -263,7 +263,7 @@ sizes AS (SELECT key AS seed, listed, coalesce(n, 0) AS set_size
 @query(f"WITH {_hop_sizes_sql(2)} SELECT seed, listed, set_size FROM sizes")
 def k_hop_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.k_hop_sizes(
-        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.spread_edges(spark, sf_dir), 2
+        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), 2
     )
 
 
@@ -273,7 +273,7 @@ def k_hop_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def k_hop_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.k_hop_average(
-        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.spread_edges(spark, sf_dir), 2
+        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), 2
     )
 
 
@@ -302,14 +302,14 @@ LISTED_SEEDS = "SELECT key FROM key_list JOIN vertices USING (key)"
 def local_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vertex as a seed."""
     return T.local_clustering(
-        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.spread_edges(spark, sf_dir)
+        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True)
     )
 
 
 @query(f"WITH {_clustering_sql(ALL_SEEDS, False)} SELECT seed, listed, n, adj, local_cc FROM clustering")
 def local_clustering_no_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.local_clustering(
-        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.spread_edges(spark, sf_dir), drop_loops=True
+        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), drop_loops=True
     )
 
 
@@ -320,6 +320,6 @@ def local_clustering_no_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def average_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over a key list with repeats and unknown keys."""
     average = T.average_clustering(
-        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.spread_edges(spark, sf_dir)
+        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True)
     )
     return average.select(F.round("avg_cc", 9).alias("avg_cc"))

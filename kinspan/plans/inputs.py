@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kinspan.functions.text import RELATION_SEP
 from kinspan.operators.relations import accepted, parse_relations, validate_relations
+from kinspan.sources.text import VERTEX_FIELDS
 
 LABEL = "relation"
 FIELDS = 38
@@ -20,12 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than the session has cores.
+    """Deal out the rows of a scan that would leave half of the session's cores idle.
 
     A table of many files has many splits and is left alone, so nothing large is shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 def text_of(column: str) -> Column:
@@ -35,11 +36,22 @@ def text_of(column: str) -> Column:
 # Supply records: a part and a supplier share one key space; returns point the other way.
 
 
-def supply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """-> key1, key2, time_text, order, line, label, tax, discount, ms: one row per line item."""
+ITEM_COLUMNS = (
+    "l_orderkey l_linenumber l_partkey l_suppkey l_returnflag l_shipdate l_tax l_discount".split()
+)
+
+
+def supply(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """-> key1, key2, time_text, order, line, label, tax, discount, ms: one row per line item.
+
+    `dealt` is for queries that do much work per record.
+    """
+    items = table(spark, sf_dir, "lineitem").select(*ITEM_COLUMNS)
+    if dealt:
+        items = spread(items, "l_orderkey", "l_linenumber")
     returned = F.col("l_returnflag") == "R"
     month = F.date_trunc("month", "l_shipdate")
-    return table(spark, sf_dir, "lineitem").select(
+    return items.select(
         F.when(returned, F.col("l_suppkey")).otherwise(F.col("l_partkey")).cast("string").alias("key1"),
         F.when(returned, F.col("l_partkey")).otherwise(F.col("l_suppkey")).cast("string").alias("key2"),
         F.concat(F.date_format(month, "yyyy-MM-dd HH:mm:ss"), F.lit(".0")).alias("time_text"),
@@ -74,7 +86,7 @@ def relation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [special.get(i, F.lit(f"f{i}")) for i in range(FIELDS)]
     whole = F.concat_ws(RELATION_SEP, *fields)
     short = F.concat_ws(RELATION_SEP, *fields[:10])
-    records = spread(supply(spark, sf_dir), "order", "line")
+    records = supply(spark, sf_dir, dealt=True)
     return records.select(F.when(F.col("tax") == 0.08, short).otherwise(whole).alias("value"))
 
 
@@ -94,7 +106,7 @@ LINES_SQL = f"""{SUPPLY_SQL},
 lines AS (
   SELECT CASE WHEN tax = 0.08 THEN {_line_sql(10)} ELSE {_line_sql(FIELDS)} END AS raw FROM supply),
 parsed AS (
-  SELECT raw, f, len(f) AS field_count, f[1] AS key1, f[20] AS key2, f[10] AS time_text
+  SELECT raw, f, CAST(len(f) AS INTEGER) AS field_count, f[1] AS key1, f[20] AS key2, f[10] AS time_text
   FROM (SELECT raw, string_split(raw, chr(1)) AS f FROM lines))"""
 
 
@@ -109,6 +121,23 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vertex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """-> value: a tab-separated line per customer, with three columns beyond the known fields.
+
+    Overdrawn customers lack a name; the lines of those in BUILDING are one column only.
+    """
+    fields = [F.lit(f"v{i}") for i in range(len(VERTEX_FIELDS))]
+    fields[1] = F.when(F.col("c_acctbal") < 0, "null").otherwise(F.col("c_name"))
+    fields[5] = text_of("c_custkey")
+    fields += [F.col("c_mktsegment"), F.lit("NULL"), text_of("c_nationkey")]
+    short = text_of("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_mktsegment") == "BUILDING", short)
+        .otherwise(F.concat_ws("\t", *fields))
+        .alias("value")
+    )
+
+
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_relations(relations(spark, sf_dir), persons(spark, sf_dir), default_time=0)
 
@@ -130,9 +159,9 @@ validated AS (
 valid AS (SELECT key1, key2, time_ms, raw FROM validated WHERE reject_reason IS NULL)"""
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """-> src, dst, label, time, value: the supply graph, suppliers being its hubs."""
-    return supply(spark, sf_dir).select(
+    return supply(spark, sf_dir, dealt).select(
         F.col("key1").alias("src"),
         F.col("key2").alias("dst"),
         "label",
@@ -141,11 +170,6 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The supply graph for queries that do much work per edge."""
-    return spread(edges(spark, sf_dir), "src", "dst")
-
-
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """-> key, name, brand, kind, size: the vertices of the supply graph."""
     return table(spark, sf_dir, "part").select(

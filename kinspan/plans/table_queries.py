@@ -9,6 +9,7 @@ from kinspan.functions import text as X
 from kinspan.operators import relations as R
 from kinspan.operators import tables as T
 from kinspan.operators.cells import row_keys
+from kinspan.operators.rows import null_literals as rows_with_nulls
 from kinspan.plans import inputs as I
 from kinspan.plans.registry import query
 
@@ -165,12 +166,12 @@ def text_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, CASE WHEN upper(lang) <> 'DE' THEN lang END AS lang FROM documents"""
+    """SELECT doc_id, CASE WHEN upper(lang) <> 'DE' THEN lang END AS lang,
+    CASE WHEN upper(source) <> 'DE' THEN source END AS source FROM documents"""
 )
 def null_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.table(spark, sf_dir, "documents").select(
-        "doc_id", X.null_if_literal(F.col("lang"), "de").alias("lang")
-    )
+    documents = I.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return rows_with_nulls(documents, ["lang", "source"], "de")
 
 
 @query(

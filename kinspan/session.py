@@ -17,6 +17,10 @@ def session(app: str = "kinspan", **conf: str) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         # Hash instead of sort for a shuffled join whose smaller side turned out to fit each task.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+        # Keys are mostly many distinct strings, for which the small first-level map only costs.
+        "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
+        # Checkpoint files go once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
