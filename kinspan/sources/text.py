@@ -96,8 +96,11 @@ def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
 
     Only the paths pass through the driver, which has to plan the scan of these files anyway.
     """
-    paths = [row.value.strip() for row in spark.read.text(manifest).collect()]
-    lines = spark.read.text([path for path in paths if path])
+    named = spark.read.text(manifest).select(F.trim("value").alias("path"))
+    paths = [row.path for row in named.filter(F.col("path") != "").collect()]
+    if not paths:
+        return spark.createDataFrame([], "value string, file_path string")
+    lines = spark.read.text(paths)
     return lines.select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
