@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.checkpoint.dir": str(base / "checkpoints"),
         },
