@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinspan.llm.tables import bitmap, components, in_bitmap, stored
+from kinspan.llm.tables import bitmap, components, in_bitmap, sorted_groups, stored
 from kinspan.llm.words import (
     gram_hashes,
     mix,
@@ -265,12 +265,10 @@ def compare(units: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     names = units.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, unit = None, {n: [] for n in names}
-
-        def result() -> Iterator[pa.RecordBatch]:
+        for unit in sorted_groups(batches, names, ["bucket", "a", "b"]):
             both, links, some = _compare(unit, similarity)
-            if len(some):
-                half = len(some)
+            half = len(some)
+            if half:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(both[:half], pa.binary()),
@@ -280,24 +278,6 @@ def compare(units: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                     names=["sid", "links", "label"],
                 )
 
-        for batch in batches:
-            columns = {n: batch.column(i).to_pylist() for i, n in enumerate(names)}
-            keys = list(zip(columns["bucket"], columns["a"], columns["b"], strict=True))
-            first = 0
-            while first < len(keys):
-                last = first
-                while last < len(keys) and keys[last] == keys[first]:
-                    last += 1
-                if keys[first] != key:
-                    if key is not None:
-                        yield from result()
-                    key, unit = keys[first], {n: [] for n in names}
-                for n in names:
-                    unit[n] += columns[n][first:last]
-                first = last
-        if key is not None:
-            yield from result()
-
     dealt = units.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
     return dealt.mapInArrow(run, "sid binary, links bigint, label binary")
 

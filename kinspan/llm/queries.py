@@ -5,14 +5,18 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kinspan.llm.chat import format_conversations, read_back
 from kinspan.llm.decontaminate import contaminated
 from kinspan.llm.exact_dedup import exact_dedup
+from kinspan.llm.fixity import FILE_PAGES, audit, in_files, record_digests, warc_records
+from kinspan.llm.licenses import license_scan
 from kinspan.llm.ngram_join import ngram_classes
 from kinspan.llm.packing import pack, tokenized_pieces
 from kinspan.llm.quality import quality_scores
+from kinspan.llm.substring_dedup import remove_repeats
 from kinspan.llm.token_counts import token_counts
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -39,14 +43,49 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return cleaned.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica of `pages`: some first characters changed, the last page of some files lost."""
+    file = F.floor(F.col("page_id") / FILE_PAGES)
+    last = F.max("page_id").over(Window.partitionBy(file))
+    hit = (F.col("page_id") * 7919 % 97 == 5) & (F.length("html") > 0)
+    changed = F.when(hit, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+    lost = (F.col("page_id") == last) & (F.pmod(file, F.lit(5)) == 0)
+    return pages.withColumns({"html": changed, "lost": lost}).filter(~F.col("lost")).drop("lost")
+
+
+def op6_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC files against a replica with known damage."""
+    pages = table(spark, sf_dir, "pages")
+    replicas = [record_digests(in_files(warc_records(p))) for p in (pages, damaged(pages))]
+    return audit(*replicas)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], turns.schema)
+    return read_back(format_conversations(turns.unionByName(probe)))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces by where they lie; the ids are summed up before anything is shuffled."""
     pieces = tokenized_pieces(table(spark, sf_dir, "documents"))
@@ -60,8 +99,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_token_counts,
         op2_ngram_join,
         op3_exact_dedup,
+        op4_substring_dedup,
         op5_quality,
+        op6_fixity_audit,
         op7_decontaminate,
+        op8_licenses,
+        op9_chat,
         op10_packing,
     )
 }
@@ -95,6 +138,25 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id,
           coalesce(n, 0) AS n_links, CAST(len(g) AS BIGINT) AS n_ngrams
         FROM grams LEFT JOIN roots ON roots.a = doc_id LEFT JOIN counts ON counts.a = doc_id""",
+    "op6_fixity_audit": r"""
+        WITH records AS (
+          SELECT page_id, page_id // 1000 AS file, coalesce(html, '') AS html,
+            'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+            || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+            || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+            || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10)
+            || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+          FROM pages),
+        placed AS (
+          SELECT page_id, file, CAST(strlen(record) AS BIGINT) AS length,
+            CAST(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id) - strlen(record) AS BIGINT)
+              AS "offset",
+            page_id = max(page_id) OVER (PARTITION BY file) AND file % 5 = 0 AS lost, html
+          FROM records)
+        SELECT file, "offset", length, page_id,
+          CASE WHEN lost THEN 'missing' ELSE 'changed' END AS status
+        FROM placed
+        WHERE lost OR (page_id * 7919 % 97 = 5 AND html <> '' AND html[1] <> '#')""",
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,3 +84,27 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         if fresh.filter("label <> old").isEmpty():
             return labels
     raise RuntimeError(f"labels still change after {rounds} rounds")
+
+
+def sorted_groups(
+    batches: Iterator[pa.RecordBatch], names: list[str], keys: list[str]
+) -> Iterator[dict[str, list]]:
+    """The rows of each key, as lists by column, from batches that are sorted by the keys."""
+    key, group = None, {n: [] for n in names}
+    for batch in batches:
+        columns = {n: batch.column(i).to_pylist() for i, n in enumerate(names)}
+        rows = list(zip(*(columns[k] for k in keys), strict=True))
+        first = 0
+        while first < len(rows):
+            last = first
+            while last < len(rows) and rows[last] == rows[first]:
+                last += 1
+            if rows[first] != key:
+                if key is not None:
+                    yield group
+                key, group = rows[first], {n: [] for n in names}
+            for n in names:
+                group[n] += columns[n][first:last]
+            first = last
+    if key is not None:
+        yield group
