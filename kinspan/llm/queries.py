@@ -113,13 +113,13 @@ ORACLES: dict[str, str] = {
     "op2_ngram_join": r"""
         WITH RECURSIVE split AS (
           SELECT doc_id,
-            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
           FROM documents),
         grams AS (
           SELECT doc_id, list_distinct(CASE
             WHEN len(w) = 0 THEN []
             WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS g
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
           FROM split),
         flat AS (SELECT doc_id, unnest(g) AS gram FROM grams),
         shared AS (SELECT gram FROM flat GROUP BY gram HAVING count(*) > 1),
