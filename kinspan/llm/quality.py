@@ -87,6 +87,16 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 def document_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """-> bucket, weight (share of the document's features), first feature of each document."""
     data, at = text_bytes(column)
+    buckets, weights, sizes = [], [], []
+    for low, high in row_slices(at):
+        part = _slice_features(data[at[low] : at[high]], at[low : high + 1] - at[low])
+        for all_parts, one in zip((buckets, weights, sizes), part, strict=True):
+            all_parts.append(one)
+    first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    return np.concatenate(buckets), np.concatenate(weights), first
+
+
+def _slice_features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, hashes, number, first, mark = _words(data, at)
     buckets, sizes = word_features(data, starts, ends, hashes)
     begins = np.cumsum(sizes) - sizes
@@ -99,7 +109,8 @@ def document_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
     found, counts = np.unique(keys, return_counts=True)
     row = found // BUCKETS
     total = np.bincount(row, counts, minlength=len(at) - 1)
-    return found % BUCKETS, counts / total[row], np.searchsorted(row, np.arange(len(at)))
+    weights = (counts / total[row]).astype(np.float32)
+    return (found % BUCKETS).astype(np.int32), weights, np.bincount(row, minlength=len(at) - 1)
 
 
 def train(texts: pa.Array, labels: np.ndarray, seed: int = 1) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from kinspan.llm.words import SLICE_BYTES, is_break, ragged
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 
 # Fixed values. Plain pieces: printable ASCII and Latin letters that no normalisation changes.
 PLAIN = "^[!-~¡-ſ]+$"

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # Words are runs of anything but these bytes (fixed values): tab, LF, VT, FF, CR and space.
 _BREAK = np.zeros(256, dtype=bool)
