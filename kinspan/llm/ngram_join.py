@@ -4,8 +4,8 @@ Documents with the same set of word n-grams are one set, so that copies meet no
 run sends a set down a path of shared tokens: the first token is the set's least n-gram under the
 run's random order, and while a bucket is large its sets go on to the least n-grams under several
 other orders. Two sets of similarity s take the same step with probability s, so `runs` first steps
-lose a pair at the threshold with probability (1 - s) ** runs, less than one in a hundred million
-for 12 runs at 0.8; `branches` next steps per split keep the loss at a split below 1 %, of which
+lose a pair at the threshold with probability (1 - s) ** runs, about one in ten million for
+10 runs at 0.8; `branches` next steps per split keep the loss at a split below 1 %, of which
 every other run is independent. Small buckets are compared in full; so are those that a step leaves
 more than half whole, as their sets are alike, in blocks of bounded size.
 
@@ -35,12 +35,12 @@ from kinspan.llm.words import (
 
 WORDS = 5
 SIMILARITY = 0.8
-RUNS = 12
+RUNS = 10
 BRANCHES = 4
 LEVELS = 4
 ORDERS = 32  # at least 1 + (LEVELS - 1) * BRANCHES of them, so that a path repeats none
-SMALL = 128
-BLOCK = 512
+SMALL = 4096
+BLOCK = 1024
 
 _BITS = 52  # n-grams are this long, so that the row within a slice fits beside them in 64 bits
 _GRAM = np.uint64((1 << _BITS) - 1)
@@ -310,7 +310,7 @@ def ngram_classes(
     kept = leaves.groupBy("sid").agg(F.collect_set("bucket").alias("kept"))
     wanted = stored(kept.join(sets.select("sid", "rep", "copies"), "sid"), "wanted")
     grams = sets_of(docs, wanted.select("sid", "rep"), words)
-    members = stored(wanted.drop("rep").join(grams, "sid"), "set-ngrams")
+    members = wanted.drop("rep").join(grams, "sid")
     blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.when(F.col("n") <= block, 0).otherwise(F.pmod(F.xxhash64("sid"), blocks)).cast("int")
     units = (

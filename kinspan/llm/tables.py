@@ -62,7 +62,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     Each round takes the smallest label among the neighbours and then the label of that label, so
     the number of rounds grows with the logarithm of a component's length. Every round is stored.
     """
-    both = edges.filter("a <> b").select("a", "b")
+    both = edges.filter("a <> b").select("a", "b").distinct()
     both = stored(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
     labels = stored(labels.select("node", F.least("node", "label").alias("label")), "labels")
