@@ -210,7 +210,7 @@ def test_license_scan(spark, documents):
 
 
 QUESTION = (
-    "Anna drives 120 km in 2 hours and then rests while her brother Peter walks slowly along the"
+    "When Anna finally drives away from home she makes 120 km in 2 hours and then rests while her brother Peter walks slowly along the"
     " river for 3 miles. How far did Anna travel before the long break at the old mill house?"
 )
 
@@ -233,7 +233,7 @@ def test_decontamination(spark, documents):
         (None, QUESTION),
         (7, " ".join(QUESTION.split()[:5])),
         (8, broken),
-        (9, "x " * 30000 + QUESTION),
+        (9, "x. " * 30000 + QUESTION),
     ]
     items = spark.createDataFrame(
         [(10, QUESTION, "a"), (10, QUESTION, "a"), (11, None, "b"), (12, "too short", "c"), (13, "", "d")],
