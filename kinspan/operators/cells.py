@@ -96,9 +96,10 @@ def cell_versions(cells: DataFrame, versions: int) -> DataFrame:
 def get_cell(
     cells: DataFrame, row: str, family: str, qualifier: str, versions: int = 1
 ) -> DataFrame:
-    """One cell's latest version, or its latest `versions` ones."""
+    """-> row_key, family, qualifier, ts, value: one cell's latest `versions` versions."""
     found = cells.filter((F.col("row_key") == row) & _column(family, qualifier))
-    return latest_cells(found) if versions == 1 else cell_versions(found, versions)
+    kept = latest_cells(found) if versions == 1 else cell_versions(found, versions)
+    return kept.select(*CELL_KEY, "ts", "value")
 
 
 def get_row(cells: DataFrame, row: str) -> DataFrame:
@@ -152,7 +153,8 @@ def batch_get(keys: DataFrame, cells: DataFrame, batch: int) -> DataFrame:
 def range_counts(ids: DataFrame, cells: DataFrame) -> DataFrame:
     """-> id, row_count: rows with id <= row_key < id || '0', for each distinct trimmed id.
 
-    Such a row key is the id itself or goes on with a character below '0'. So each row offers the
+    Such a row key is the id itself or goes on with a character below '0'; an empty id is the start
+    of every row key. So each row offers the
     prefixes that end before such a character, and itself, as ids: the range join becomes an
     equality on counts that are already summed up.
     """
@@ -162,9 +164,9 @@ def range_counts(ids: DataFrame, cells: DataFrame) -> DataFrame:
     def next_is_low(end: Column) -> Column:
         return (end == F.length(key)) | (F.substr(key, end + 1, F.lit(1)) < "0")
 
-    ends = F.filter(F.sequence(F.lit(1), F.length(key)), next_is_low)
+    ends = F.filter(F.sequence(F.lit(0), F.length(key)), next_is_low)
     prefixes = F.transform(ends, lambda end: F.substr(key, F.lit(1), end))
-    offered = row_keys(cells.filter(F.length(key) > 0)).select(F.explode(prefixes).alias("id"))
+    offered = row_keys(cells).select(F.explode(prefixes).alias("id"))
     counts = (
         only_listed(offered, distinct_ids, "id").groupBy("id").agg(row_count().alias("row_count"))
     )

@@ -25,8 +25,9 @@ def incidence(edges: DataFrame) -> DataFrame:
 
 
 def _unordered(edges: DataFrame) -> DataFrame:
-    """-> a, b: the ends of each edge, a <= b."""
-    return edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+    """-> a, b: the ends of each edge, a <= b. An edge with a NULL end joins nothing and goes."""
+    whole = edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    return whole.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
 
 
 def simple_pairs(edges: DataFrame) -> DataFrame:
@@ -142,12 +143,13 @@ def duplicate_keys(vertices: DataFrame) -> DataFrame:
 
 
 def listed_pairs(pairs: DataFrame) -> DataFrame:
-    """-> key1, key2, listed, a, b: each listed pair once."""
+    """-> key1, key2, listed, a, b: each listed pair once; a and b are NULL if a key is."""
+    both = F.col("key1").isNotNull() & F.col("key2").isNotNull()
     return (
         pairs.groupBy("key1", "key2")
         .agg(row_count().alias("listed"))
-        .withColumn("a", F.least("key1", "key2"))
-        .withColumn("b", F.greatest("key1", "key2"))
+        .withColumn("a", F.when(both, F.least("key1", "key2")))
+        .withColumn("b", F.when(both, F.greatest("key1", "key2")))
     )
 
 

@@ -41,13 +41,13 @@ def parse_relations(
 
 
 def mark_short_lines(relations: DataFrame, last_index: int = KEY2_INDEX) -> DataFrame:
-    """Add `reject_reason`: set for a line that ends before the field `last_index`."""
-    short = F.col("field_count") <= last_index
+    """Add `reject_reason`: set for a line that ends before the field `last_index`, or is NULL."""
+    short = F.coalesce(F.col("field_count") <= last_index, F.lit(True))
     return relations.withColumn("reject_reason", F.when(short, F.lit(NOT_ENOUGH_FIELDS)))
 
 
 def mark_unknown_endpoints(records: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Set `reject_reason` where key1, else key2, is not the key of a vertex.
+    """Set `reject_reason` where key1, else key2, is not the key of a vertex; NULL never is one.
 
     A vertex list too large to broadcast is first narrowed, by keys alone, to the endpoint keys it
     lacks. These are usually few, and a broadcast of them spares the shuffles of whole lines.
@@ -75,11 +75,12 @@ def mark_unknown_endpoints(records: DataFrame, vertices: DataFrame) -> DataFrame
             # Counted before the joins, so that the second does not run the first twice.
             counts = key_counts(records, [column])
             flagged = skew_join(flagged, side, column, "left", left_counts=counts)
-    in1, in2 = F.coalesce("_in1", F.lit(False)), F.coalesce("_in2", F.lit(False))
+    unknown1 = F.col("key1").isNull() | (F.coalesce("_in1", F.lit(False)) != found)
+    unknown2 = F.col("key2").isNull() | (F.coalesce("_in2", F.lit(False)) != found)
     reason = (
         F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
-        .when(in1 != found, F.lit(KEY1_NOT_FOUND))
-        .when(in2 != found, F.lit(KEY2_NOT_FOUND))
+        .when(unknown1, F.lit(KEY1_NOT_FOUND))
+        .when(unknown2, F.lit(KEY2_NOT_FOUND))
     )
     return flagged.withColumn("reject_reason", reason).select(*columns)
 
@@ -130,15 +131,20 @@ def reject_counts(validated: DataFrame) -> DataFrame:
 def canonical_edges(relations: DataFrame, sep: str = RELATION_SEP, half: int = HALF_FIELDS) -> DataFrame:
     """-> k1, k2, time, raw with k1 <= k2; a line is rebuilt with its halves swapped unless key1 < key2.
 
-    Only lines of two whole halves take part. `time` stays the time of the original line.
+    Lines of fewer than two whole halves are left to `canonical_rejects`. What a wider line has
+    beyond them stays with its second half. `time` stays the time of the original line.
     """
     keep = F.col("key1") < F.col("key2")
     swapped = F.array_join(
-        F.concat(F.slice("fields", half + 1, half), F.slice("fields", 1, half)), sep
+        F.concat(
+            F.slice("fields", F.lit(half + 1), F.greatest(F.size("fields"), F.lit(1))),
+            F.slice("fields", 1, half),
+        ),
+        sep,
     )
     return select_where(
         relations,
-        F.size("fields") == 2 * half,
+        F.coalesce(F.size("fields") >= 2 * half, F.lit(False)),
         F.least("key1", "key2").alias("k1"),
         F.greatest("key1", "key2").alias("k2"),
         F.col("time_text").alias("time"),
@@ -146,6 +152,16 @@ def canonical_edges(relations: DataFrame, sep: str = RELATION_SEP, half: int = H
     )
 
 
+def canonical_rejects(relations: DataFrame, half: int = HALF_FIELDS) -> DataFrame:
+    """-> raw, reject_reason: the lines that `canonical_edges` leaves out, NULL lines too."""
+    return select_where(
+        relations,
+        F.coalesce(F.size("fields") < 2 * half, F.lit(True)),
+        "raw",
+        F.lit(NOT_ENOUGH_FIELDS).alias("reject_reason"),
+    )
+
+
 def sort_edges(canonical: DataFrame) -> DataFrame:
     """All records in the order of (k1, k2, time), duplicates kept.
 
@@ -181,8 +197,17 @@ def raw_edges(valid: DataFrame, label: str, times: int = 100) -> DataFrame:
 
 
 def edge_id(key1: Column, key2: Column, label: Column) -> Column:
-    """The id of the summary edge between two keys, whichever comes first."""
-    return F.concat_ws(":", F.least(key1, key2), F.greatest(key1, key2), label)
+    """The id of the summary edge between two keys, whichever comes first; NULL if an end is.
+
+    A separator within a key is escaped, so that different pairs never share an id.
+    """
+
+    def escaped(key: Column) -> Column:
+        return F.replace(F.replace(key, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:"))
+
+    both = key1.isNotNull() & key2.isNotNull()
+    low, high = escaped(F.least(key1, key2)), escaped(F.greatest(key1, key2))
+    return F.when(both, F.concat_ws(":", low, high, label))
 
 
 def summary_edges(valid: DataFrame, label: str, existing: DataFrame | None = None) -> DataFrame:

@@ -105,6 +105,8 @@ def skew_join(
     """
     on = [on] if isinstance(on, str) else list(on)
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    if how.lower().replace("_", "").replace("outer", "") in ("right", "full"):
+        raise ValueError("copies of right rows would come out once per salt")
     if not right_unique and how != "inner":
         raise ValueError("only inner joins can split both sides")
     if left_rows is not None and left_rows <= hot_rows:

@@ -18,8 +18,8 @@ CANONICAL_SQL = f"""{I.LINES_SQL},
 canonical AS (
   SELECT least(key1, key2) AS k1, greatest(key1, key2) AS k2, time_text AS time,
          CASE WHEN key1 < key2 THEN raw
-              ELSE array_to_string(list_concat(f[20:38], f[1:19]), chr(1)) END AS raw
-  FROM parsed WHERE len(f) = 38)"""
+              ELSE array_to_string(list_concat(f[20:], f[1:19]), chr(1)) END AS raw
+  FROM parsed WHERE len(f) >= 38)"""
 
 
 @query(f"WITH {I.LINES_SQL} SELECT raw, key1, key2, time_text, field_count FROM parsed")
@@ -63,6 +63,14 @@ def canonical_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.canonical_edges(I.relations(spark, sf_dir))
 
 
+@query(
+    f"""WITH {CANONICAL_SQL} SELECT raw, 'not enough fields' AS reject_reason FROM parsed
+    WHERE len(f) < 38"""
+)
+def canonical_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.canonical_rejects(I.relations(spark, sf_dir))
+
+
 @query(f"WITH {CANONICAL_SQL} SELECT k1, k2, time, raw FROM canonical ORDER BY k1, k2, time, raw")
 def sort_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.sort_edges(R.canonical_edges(I.relations(spark, sf_dir)))
