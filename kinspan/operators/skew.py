@@ -15,14 +15,12 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from kinspan.session import reliable
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
-# Bounds the list of hot keys that the driver hands to the executors. Keys beyond it keep one
-# salt; each of them holds less than one part in MAX_HOT_KEYS of the rows.
-MAX_HOT_KEYS = 10_000
 NULL_SALTS = 1024
 
 _SPLIT, _COPY = "_split", "_copy"
@@ -62,15 +60,28 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def _hot_keys(counts: DataFrame, on: Sequence[str], hot_rows: int) -> dict[tuple, int]:
-    """Hot key -> number of salts, for the at most MAX_HOT_KEYS hottest keys."""
-    hottest = (
-        counts.filter(F.col("_rows") > hot_rows)
-        .orderBy(F.col("_rows").desc(), *on)
-        .limit(MAX_HOT_KEYS)
-        .select(*on, "_rows")
-    )
-    return {tuple(row[c] for c in on): 1 + row["_rows"] // hot_rows for row in hottest.collect()}
+def _hot_keys(counts: DataFrame, on: Sequence[str], hot_rows: int, name: str) -> DataFrame:
+    """-> `on`, `name`: the number of salts of every hot key. Written out, as it is used repeatedly."""
+    salts = (F.lit(1) + F.floor(F.col("_rows") / hot_rows)).cast("int")
+    return reliable(counts.filter(F.col("_rows") > hot_rows).select(*on, salts.alias(name)))
+
+
+def _with_salts(
+    df: DataFrame, hot: DataFrame, on: Sequence[str], hot_rows: int, counts: DataFrame | None
+) -> DataFrame:
+    """`df` with the columns of `hot`, NULL for other keys.
+
+    A list of hot keys too long to broadcast is joined by a shuffle, in which only keys of a
+    hundred times as many rows are split; there are fewer of those, and in the end few enough.
+    `counts` says how many rows of `df` a key has, None that it has one.
+    """
+    if fits_broadcast(hot):
+        return df.join(F.broadcast(hot), on, "left")
+    if counts is None:
+        return df.join(hot, on, "left")
+    apart = {c: f"_{c}" for c in hot.columns if c not in on}  # the inner join has salts of its own
+    salted = skew_join(df, hot.withColumnsRenamed(apart), on, "left", hot_rows * 100, counts)
+    return salted.withColumnsRenamed({new: old for old, new in apart.items()})
 
 
 def _salt(df: DataFrame, on: Sequence[str], parts: Column) -> Column:
@@ -109,31 +120,30 @@ def skew_join(
         raise ValueError("copies of right rows would come out once per salt")
     if not right_unique and how != "inner":
         raise ValueError("only inner joins can split both sides")
-    if left_rows is not None and left_rows <= hot_rows:
-        hot_left = {}
-    else:
-        counts = key_counts(left, on) if left_counts is None else left_counts
-        hot_left = _hot_keys(counts, on, hot_rows)
-    hot_right = {} if right_unique else _hot_keys(key_counts(right, on), on, hot_rows)
-    if not hot_left and not hot_right:
+    hot = right_counts = None
+    if left_rows is None or left_rows > hot_rows:
+        left_counts = key_counts(left, on) if left_counts is None else left_counts
+        hot = _hot_keys(left_counts, on, hot_rows, "_nl")
+    split_right = False
+    if not right_unique:
+        right_counts = key_counts(right, on)
+        hot_right = _hot_keys(right_counts, on, hot_rows, "_nr")
+        split_right = not hot_right.isEmpty()
+        if hot is None:
+            hot = hot_right.withColumn("_nl", F.lit(1))
+        elif split_right:
+            hot = hot.join(hot_right, on, "full")
+    if hot is None or hot.isEmpty():
         return left.join(right, on, how)
-
-    schema = T.StructType(
-        [T.StructField(c, left.schema[c].dataType) for c in on]
-        + [T.StructField("_nl", T.IntegerType()), T.StructField("_nr", T.IntegerType())]
-    )
-    rows = [
-        (*key, hot_left.get(key, 1), hot_right.get(key, 1))
-        for key in hot_left.keys() | hot_right.keys()
-        if None not in key
-    ]
-    hot = F.broadcast(left.sparkSession.createDataFrame(rows, schema))
     n_left, n_right = F.coalesce("_nl", F.lit(1)), F.coalesce("_nr", F.lit(1))
 
-    lefts = left.join(hot, on, "left").withColumn(_SPLIT, _salt(left, on, n_left))
-    rights = right.join(hot, on, "left").withColumn(_SPLIT, _copies(n_left))
+    if left_counts is None:
+        left_counts = key_counts(left, on)
+    lefts = _with_salts(left, hot, on, hot_rows, left_counts)
+    lefts = lefts.withColumn(_SPLIT, _salt(left, on, n_left))
+    rights = _with_salts(right, hot, on, hot_rows, right_counts).withColumn(_SPLIT, _copies(n_left))
     salts = [_SPLIT]
-    if hot_right:
+    if split_right:
         lefts = lefts.withColumn(_COPY, _copies(n_right))
         rights = rights.withColumn(_COPY, _salt(right, on, n_right))
         salts.append(_COPY)
@@ -144,22 +154,21 @@ def skew_join(
     )
 
 
-def repartition_by(df: DataFrame, on: str, hot_rows: int | None = None) -> DataFrame:
+def repartition_by(
+    df: DataFrame, on: str, hot_rows: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """`df` hash-partitioned by `on`, except that hot keys are split over several partitions.
 
-    The number of partitions is fixed: it is for rows that multiply afterwards, whose size now
-    would mislead adaptive execution into few partitions.
+    `counts` (`on`, `_rows`) gives the rows that a key will have once its rows have multiplied.
+    The number of partitions is fixed, as the size now would mislead adaptive execution into few.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    hot = _hot_keys(key_counts(df, [on]), [on], hot_rows)
-    if not hot:
+    counts = key_counts(df, [on]) if counts is None else counts
+    hot = _hot_keys(counts, [on], hot_rows, "_n")
+    if hot.isEmpty():
         return df.repartition(partitions, on)
-    schema = T.StructType(
-        [T.StructField(on, df.schema[on].dataType), T.StructField("_n", T.IntegerType())]
-    )
-    parts = df.sparkSession.createDataFrame([(*key, n) for key, n in hot.items()], schema)
-    salted = df.join(F.broadcast(parts), on, "left").withColumn(
+    salted = _with_salts(df, hot, [on], hot_rows, counts).withColumn(
         _SPLIT, _salt(df, [on], F.coalesce("_n", F.lit(1)))
     )
     return salted.repartition(partitions, on, _SPLIT).select(*df.columns)

@@ -102,12 +102,18 @@ def sample_lines(
 ) -> DataFrame:
     """Exactly `n` rows (all, if there are fewer), drawn without replacement, in random order.
 
-    The order is that of a hash of the seed and `id_cols` (default: the whole row), so the draw
-    repeats for a seed. Rows that are equal in `id_cols` are drawn next to each other.
+    The order is that of a hash of the seed and `id_cols`, so the draw repeats for a seed; rows that
+    are equal in `id_cols` are drawn next to each other. Without `id_cols` equal rows are counted and
+    numbered, so that each copy is drawn by itself; this shuffles the distinct rows.
     """
-    ids = [F.col(c).cast("string") for c in (id_cols or df.columns)]
+    columns = df.columns
+    if id_cols is None:
+        counted = df.groupBy(*columns).agg(row_count().alias("_copies"))
+        df = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+        id_cols = [*columns, "_copy"]
+    ids = [F.col(c).cast("string") for c in id_cols]
     draw = F.md5(F.concat_ws("\u0001", F.lit(str(seed)), *ids))
-    return df.withColumn("_draw", draw).orderBy("_draw", *df.columns).limit(n).drop("_draw")
+    return df.withColumn("_draw", draw).orderBy("_draw", *columns).limit(n).select(*columns)
 
 
 def random_letters(df: DataFrame, id_col: str = "id", length: int = 100, seed: int = 0) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
 
@@ -13,8 +15,10 @@ from kinspan.plans import inputs as I
 from kinspan.plans.registry import query
 from kinspan.session import fresh_path
 from kinspan.sinks import files as K
+from kinspan.sinks import tables as B
 from kinspan.sources import files as P
 from kinspan.sources import text as X
+from kinspan.sources.schema import schema_from_json
 
 
 @query(
@@ -160,11 +164,76 @@ def orc_long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.orc_long_values(P.read_orc(spark, path), "item")
 
 
-@query()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, 'file' AS kind, count(*) AS row_count FROM {name}" for name in TABLES
+    )
+)
 def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every file of the given tables."""
+    """The files of the given tables, by table, with the rows that are read from them."""
+
+    def plain(path: str) -> Column:
+        return F.regexp_replace(path, "^[a-z]+:/+", "/")
+
+    counts = None
+    for name in TABLES:
+        read = I.table(spark, sf_dir, name).select(plain("_metadata.file_path").alias("path"))
+        per_file = read.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+        counts = per_file if counts is None else counts.unionByName(per_file)
     files = P.list_files(spark, sf_dir, recursive=True)
-    return files.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "kind", "length")
+    listed = files.select(
+        plain("path").alias("path"), "kind", F.regexp_extract("path", r"/([^/]+)\.parquet", 1).alias("name")
+    )
+    return (
+        listed.filter(F.col("name").isin(TABLES))
+        .join(counts, "path", "left")
+        .groupBy("name", "kind")
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
+    )
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, CAST(c_nationkey AS INTEGER) AS c_nationkey FROM customer")
+def read_described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers as text, read by a schema whose descriptor lists the fields in another order."""
+    names = {"c_nationkey": "INT", "c_acctbal": "DOUBLE", "c_name": "STRING", "c_custkey": "LONG"}
+    fields = [
+        {"name": name, "dataType": kind, "offset": 3 - i, "isPrimaryKey": name == "c_custkey"}
+        for i, (name, kind) in enumerate(names.items())
+    ]
+    schema = schema_from_json(json.dumps(fields))
+    path = fresh_path(spark, "described")
+    K.write_text(I.table(spark, sf_dir, "customer").select(*schema.names), path, RELATION_SEP)
+    return spark.read.schema(schema).csv(path, sep=RELATION_SEP).select(
+        F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_acctbal", "c_nationkey"
+    )
+
+
+@query(
+    """SELECT o_orderkey, o_totalprice, true AS created, false AS created_again, true AS found,
+    false AS found_after FROM orders"""
+)
+def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table is created once, filled, found, and dropped; its files stay where they were put."""
+    orders = I.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    path = fresh_path(spark, "orders_table")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    created = [B.create_table_if_absent(spark, name, orders.schema, path) for _ in range(2)]
+    orders.write.insertInto(name)
+    found = B.table_exists(spark, name)
+    B.drop_table(spark, name)
+    return spark.read.schema(orders.schema).parquet(path).select(
+        "*",
+        F.lit(created[0]).alias("created"),
+        F.lit(created[1]).alias("created_again"),
+        F.lit(found).alias("found"),
+        F.lit(B.table_exists(spark, name)).alias("found_after"),
+    )
 
 
 @query("SELECT event_id, event_type FROM events")

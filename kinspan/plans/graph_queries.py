@@ -10,7 +10,7 @@ from kinspan.operators import relations as R
 from kinspan.operators import traversal as T
 from kinspan.plans import inputs as I
 from kinspan.plans.registry import query
-from kinspan.session import reliable
+from kinspan.session import fresh_path
 
 
 @query(f"WITH {I.GRAPH_SQL} SELECT key, degree FROM degrees")
@@ -133,8 +133,10 @@ events2 AS (
 
 
 def _two_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The stored summary edges and detail rows that the lookups start from."""
-    valid = reliable(I.valid(spark, sf_dir))
+    """Summary edges and detail rows over stored columns; a lookup reads those that it needs."""
+    path = fresh_path(spark, "valid")
+    I.valid(spark, sf_dir).write.parquet(path)
+    valid = spark.read.parquet(path)
     return R.summary_edges(valid, I.LABEL), R.pair_events(valid, I.LABEL, 1)
 
 

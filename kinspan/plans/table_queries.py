@@ -74,18 +74,23 @@ COUNTED = [
     "l_linestatus",
     "l_shipdate",
 ]
-CARDINALITIES_SQL = "cards AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS col, count(DISTINCT {c}) AS ndv FROM lineitem" for c in COUNTED
-) + ")"
 
 
-@query(f"WITH {CARDINALITIES_SQL} SELECT col, ndv FROM cards")
+def _cardinalities_sql(columns: list[str]) -> str:
+    per_column = (f"SELECT '{c}' AS col, count(DISTINCT {c}) AS ndv FROM lineitem" for c in columns)
+    return "cards AS (" + " UNION ALL ".join(per_column) + ")"
+
+
+ALL_COUNTED = [*COUNTED, "l_extendedprice"]
+
+
+@query(f"WITH {_cardinalities_sql(ALL_COUNTED)} SELECT col, ndv FROM cards")
 def cardinalities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.cardinalities(I.table(spark, sf_dir, "lineitem"), COUNTED)
+    return T.cardinalities(I.table(spark, sf_dir, "lineitem"), ALL_COUNTED)
 
 
 @query(
-    f"""WITH {CARDINALITIES_SQL},
+    f"""WITH {_cardinalities_sql(COUNTED)},
     total AS (SELECT round(sum(log10(ndv)), 6) AS log10_product, product(ndv) AS p FROM cards),
     row_count AS (SELECT count(*) AS n FROM lineitem)
     SELECT log10_product, CASE WHEN p < 9223372036854775807 THEN CAST(p AS BIGINT) END AS product,
@@ -165,6 +170,19 @@ def text_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT p_partkey, upper(p_name) AS upper_name, lower(p_type) AS lower_type,
+    upper(lower(p_brand)) AS brand FROM part"""
+)
+def cased_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.table(spark, sf_dir, "part").select(
+        "p_partkey",
+        X.upper_case(F.col("p_name")).alias("upper_name"),
+        X.lower_case(F.col("p_type")).alias("lower_type"),
+        X.upper_case(X.lower_case(F.col("p_brand"))).alias("brand"),
+    )
+
+
 @query(
     """SELECT doc_id, CASE WHEN upper(lang) <> 'DE' THEN lang END AS lang,
     CASE WHEN upper(source) <> 'DE' THEN source END AS source FROM documents"""

@@ -92,6 +92,10 @@ def test_sample_is_exact_and_repeatable(spark):
     assert sample == [r.value for r in T.sample_lines(lines.coalesce(2), 50, 1).collect()]
     assert set(sample) != {r.value for r in T.sample_lines(lines, 50, 2).collect()}
     assert T.sample_lines(lines, 2000, 1).count() == 1000
+    half = lines.limit(500).unionByName(lines.limit(500).selectExpr("'copy' as value"))
+    for seed in range(4):
+        drawn = [r.value for r in T.sample_lines(half, 100, seed).collect()]
+        assert len(drawn) == 100 and 25 < drawn.count("copy") < 75
 
 
 def test_cardinality_product_shows_overflow(spark):

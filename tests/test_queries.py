@@ -35,14 +35,26 @@ SHUFFLED = [
     "incident_edges_raw",
     "incident_edges_summary",
     "k_hop",
+    "k_hop_average",
     "k_hop_sizes",
+    "key_counts",
+    "key_degree_report",
+    "load_vertices",
     "local_clustering",
+    "local_clustering_no_loops",
     "average_clustering",
     "lookup_ids",
+    "missing_keys",
+    "pair_exists",
+    "pair_lookup_raw",
+    "pair_lookup_summary",
+    "range_counts",
+    "reject_counts",
     "rows_with_columns",
     "upsert",
     "validate_relations",
     "vertex_entries",
+    "vertex_load_report",
 ]
 
 

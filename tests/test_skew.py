@@ -34,6 +34,23 @@ def test_salted_many_to_many_join_equals_plain_join(spark):
         S.skew_join(left, many, "k", "left", right_unique=False)
 
 
+def test_many_hot_keys_are_all_split(spark, monkeypatch):
+    """A list of hot keys too long to broadcast is joined by a shuffle, and still in full."""
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 1)
+    left = spark.createDataFrame([(f"k{i % 7}", i) for i in range(210)], "k string, x int")
+    one = spark.createDataFrame([(f"k{i}", i) for i in range(9)], "k string, y int")
+    many = spark.createDataFrame([(f"k{i % 9}", i) for i in range(90)], "k string, y int")
+    for how in ("inner", "left", "left_anti"):
+        assert rows(S.skew_join(left, one, "k", how, hot_rows=5)) == rows(left.join(one, "k", how))
+    both = S.skew_join(left, many, "k", hot_rows=5, right_unique=False)
+    assert rows(both) == rows(left.join(many, "k"))
+    right_only = S.skew_join(left, many, "k", hot_rows=5, left_rows=5, right_unique=False)
+    assert rows(right_only) == rows(left.join(many, "k"))
+    hot = S._hot_keys(S.key_counts(left, ["k"]), ["k"], 5, "n")
+    assert {r.n for r in hot.collect()} == {7} and hot.count() == 7
+    assert rows(S.repartition_by(left, "k", 5)) == rows(left)
+
+
 def test_composite_keys(spark):
     left = spark.createDataFrame([("a", 1, i) for i in range(20)] + [("a", 2, 0)], "k string, j int, x int")
     right = spark.createDataFrame([("a", 1, "y"), ("b", 1, "z")], "k string, j int, y string")
@@ -42,8 +59,8 @@ def test_composite_keys(spark):
 
 def test_a_hot_key_is_spread_over_its_salts(spark):
     left, _ = tables(spark)
-    counts = S._hot_keys(S.key_counts(left, ["k"]), ["k"], 5)
-    assert counts == {("hot",): 9, (None,): 3}
+    counts = S._hot_keys(S.key_counts(left, ["k"]), ["k"], 5, "n")
+    assert rows(counts) == rows(spark.createDataFrame([("hot", 9), (None, 3)], "k string, n int"))
     from pyspark.sql import functions as F
 
     wide = spark.range(0, 9000, 1, 8).select(F.lit("hot").alias("k"), "id")
