@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinspan.llm.chat import format_conversations, read_back
@@ -18,6 +18,7 @@ from kinspan.llm.packing import pack, tokenized_pieces
 from kinspan.llm.quality import quality_scores
 from kinspan.llm.substring_dedup import remove_repeats
 from kinspan.llm.token_counts import token_counts
+from kinspan.operators.skew import lookup_join
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -56,11 +57,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def damaged(pages: DataFrame) -> DataFrame:
     """A replica of `pages`: some first characters changed, the last page of some files lost."""
     file = F.floor(F.col("page_id") / FILE_PAGES)
-    last = F.max("page_id").over(Window.partitionBy(file))
+    last = pages.select("page_id").groupBy(file.alias("file")).agg(F.max("page_id").alias("page_id"))
+    lost = last.filter(F.pmod("file", F.lit(5)) == 0).select("page_id")
     hit = (F.col("page_id") * 7919 % 97 == 5) & (F.length("html") > 0)
     changed = F.when(hit, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
-    lost = (F.col("page_id") == last) & (F.pmod(file, F.lit(5)) == 0)
-    return pages.withColumns({"html": changed, "lost": lost}).filter(~F.col("lost")).drop("lost")
+    return lookup_join(pages, lost, "page_id", "left_anti").withColumn("html", changed)
 
 
 def op6_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
