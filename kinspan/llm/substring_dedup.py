@@ -35,7 +35,6 @@ from kinspan.llm.words import (
 WINDOW = 35
 RUN = 10
 SHARD = 64
-SLOTS = 1 << 27
 
 _BASE = 0xD6E8FEB86659FD93
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
@@ -123,34 +122,19 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
 
-def repeated_segments(docs: DataFrame, window: int, run: int) -> DataFrame:
-    """-> text (key), anchor, segment, at, size: the segments whose anchor may occur twice.
-
-    Anchors are first counted by slots of a table of fixed size. A slot that two anchors share
-    only lets through segments that the counts by anchor drop later.
-    """
-
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, part in _sliced(batches):
-            anchor, *_ = part.segments(window, run)
-            yield pa.RecordBatch.from_arrays([_long(anchor & np.uint64(SLOTS - 1))], ["key"])
-
-    slots = _narrow(docs).mapInArrow(anchors, "key bigint")
-    often = slots.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    passing = docs.sparkSession.sparkContext.broadcast(bitmap(stored(often, "anchors"), "key", SLOTS))
+def text_segments(docs: DataFrame, window: int, run: int) -> DataFrame:
+    """-> text (key), anchor, segment, at, size: the segments of all texts."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, part in _sliced(batches):
             anchor, segment, text, at, size = part.segments(window, run)
-            some = in_bitmap(passing.value, anchor & np.uint64(SLOTS - 1))
-            text = text[some]
             yield pa.RecordBatch.from_arrays(
                 [
                     _long(part.keys[text]),
-                    _long(anchor[some]),
-                    _long(segment[some]),
-                    pa.array(at[some] - part.first[text]),
-                    pa.array(size[some]),
+                    _long(anchor),
+                    _long(segment),
+                    pa.array(at - part.first[text]),
+                    pa.array(size),
                 ],
                 names=["text", "anchor", "segment", "at", "size"],
             )
@@ -159,6 +143,12 @@ def repeated_segments(docs: DataFrame, window: int, run: int) -> DataFrame:
     return _narrow(docs).mapInArrow(segments, schema)
 
 
+def repeated_segments(segments: DataFrame) -> DataFrame:
+    """The segments whose anchor occurs twice. Anchors are counted map-side first."""
+    often = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return segments.join(often.select("anchor"), "anchor", "left_semi")
+
+
 def segment_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """text, anchor, segment, n, at, size, segments -> the same with words: the segments' word hashes."""
     keys = wanted.select(F.col("text").alias("key")).distinct()
@@ -347,7 +337,8 @@ def remove_repeats(
     their ids; a null id is an id like others. Other columns are not read. Words are compared by
     64-bit hashes, windows by all their words or, in very large shards, by hashes of 64 bits.
     """
-    found = stored(repeated_segments(docs, window, run), "segments")
+    segments = stored(text_segments(docs, window, run), "segments")
+    found = stored(repeated_segments(segments).select(segments.columns), "repeated-segments")
     first = F.min(F.struct("text", "at", "size")).alias("first")
     kinds = found.groupBy("anchor", "segment").agg(F.count(F.lit(1)).alias("n"), first)
     shards = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"), F.sum("n").alias("rows"))
