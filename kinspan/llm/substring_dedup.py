@@ -31,10 +31,12 @@ from kinspan.llm.words import (
     word_bounds,
     word_hashes,
 )
+from kinspan.operators.skew import skew_join
 
 WINDOW = 35
 RUN = 10
 SHARD = 64
+HOT_SEGMENTS = 25_000
 
 _BASE = 0xD6E8FEB86659FD93
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
@@ -143,10 +145,16 @@ def text_segments(docs: DataFrame, window: int, run: int) -> DataFrame:
     return _narrow(docs).mapInArrow(segments, schema)
 
 
-def repeated_segments(segments: DataFrame) -> DataFrame:
-    """The segments whose anchor occurs twice. Anchors are counted map-side first."""
-    often = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return segments.join(often.select("anchor"), "anchor", "left_semi")
+def repeated_segments(segments: DataFrame, hot_rows: int = HOT_SEGMENTS) -> DataFrame:
+    """The segments whose anchor occurs twice.
+
+    Anchors are counted map-side first; segments whose anchor has more than `hot_rows` are split.
+    """
+    counts = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("_rows"))
+    often = stored(counts.filter("_rows > 1"), "anchors")
+    return skew_join(
+        segments, often.select("anchor"), "anchor", "left_semi", hot_rows, left_counts=often
+    )
 
 
 def segment_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -155,6 +155,14 @@ def test_substring_dedup(spark, documents, corpus, window, run, shard):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == plain_repeats(corpus, window)
 
 
+def test_segments_of_hot_anchors_stay(spark):
+    rows = [(t, 7, t % 3, 0, 35) for t in range(40)] + [(50, 8, 1, 0, 35), (51, 9, 1, 0, 35), (52, 9, 2, 0, 36)]
+    schema = "text bigint, anchor bigint, segment bigint, at bigint, size bigint"
+    segments = spark.createDataFrame(rows, schema)
+    kept = S.repeated_segments(segments, hot_rows=4).select(segments.columns).collect()
+    assert sorted(map(tuple, kept)) == sorted(r for r in rows if r[1] != 8)
+
+
 def test_substring_dedup_of_nothing(spark, documents):
     assert S.remove_repeats(documents([])).collect() == []
 
