@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Codec names of the ORC sink (fixed values).
@@ -28,8 +28,9 @@ def export_by_range(df: DataFrame, key: str, path: str, n: int | None = None) ->
     spark = df.sparkSession
     keys = df.select(F.col(key).cast("string").alias("value")).distinct()
     ranged = keys.repartitionByRange("value") if n is None else keys.repartitionByRange(n, "value")
-    ranged.write.text(path)
-    return spark.read.text(path).agg(F.count(F.lit(1)).alias("row_count"))
+    written = Observation()
+    ranged.observe(written, F.count(F.lit(1)).alias("row_count")).write.text(path)
+    return spark.createDataFrame([(written.get["row_count"],)], "row_count bigint")
 
 
 def bulk_load(

@@ -130,6 +130,8 @@ def test_export_in_ranges(spark, tmp_path):
     files = spark.read.text(path).groupBy(F.input_file_name().alias("f")).agg(F.min("value"), F.max("value"))
     ranges = sorted((lo, hi) for _, lo, hi in files.collect())
     assert len(ranges) == 4 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    lines = spark.createDataFrame([("a\nb",), ("c",), ("c",)], "k string")
+    assert rows(K.export_by_range(lines, "k", path_of(tmp_path, "lines"))) == [(2,)]
 
 
 def test_bulk_load_and_publish(spark, tmp_path):

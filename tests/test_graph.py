@@ -148,6 +148,21 @@ def test_clustering_against_brute_force(spark, monkeypatch, drop_loops, group_ro
             assert r.listed == seeds.count(r.seed)
 
 
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 1])
+def test_few_seeds_open_few_wedges(spark, monkeypatch, broadcast_rows):
+    """One seed in twenty of a ring with chords: only what lies around the seeds is kept."""
+    monkeypatch.setattr("kinspan.operators.skew.BROADCAST_ROWS", broadcast_rows)
+    names = [f"r{i}" for i in range(200)]
+    pairs = [(names[i], names[(i + d) % 200]) for i in range(200) for d in (1, 2)]
+    graph, seeds = edges(spark, *pairs), names[::20]
+    near = T._around(graph.select("src", "dst"), keys(spark, *seeds), len(names))
+    assert near.count() == 10 * 7  # four steps of one and three of two in the five around each seed
+    got = T.local_clustering(keys(spark, *seeds), keys(spark, *names), graph)
+    expected = clustering_by_hand(pairs, seeds, False)
+    assert {r.seed: r.n for r in got.collect()} == {s: expected[s][0] for s in seeds}
+    assert {r.local_cc for r in got.collect()} == {0.5}
+
+
 @pytest.mark.parametrize("group_rows", [10_000, 2])
 def test_hops_against_brute_force(spark, group_rows):
     names, pairs = random_graph(9)
