@@ -255,3 +255,31 @@ def test_decontamination_finds_the_passages_of_the_given_tables(spark, small_dir
         (r.doc_id, i) for r in docs.collect() for i, text in texts.items() if text in (r.text or "")
     }
     assert {(r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()} == want
+
+
+def found_in(spark, documents, rows, items):
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    return {(r.doc_id, r.item_id): r for r in D.contaminated(documents(rows), benchmark).collect()}
+
+
+def test_decontamination_reads_words_that_open_sentences_both_ways(spark, documents):
+    story = (
+        "Tom has 3 red apples here. Ann has 5 green pears there. Tom gives 2 of his apples away."
+        " Ann eats 4 of her pears today."
+    )
+    fresh = dict(zip("Tom Ann 3 5 2 4".split(), "Sue Bob 7 9 6 8".split(), strict=True))
+    other = re.sub("Tom|Ann|[3524]", lambda m: fresh[m[0]], story)
+    words = (
+        "The train leaves the old station in the north at noon. The bus waits for all of the guests of"
+        " the old house."
+    )
+    short = "What is the capital of France"
+    rows = [
+        (1, other),
+        (2, other.replace("Sue gives", "Kim gives").replace("Bob eats", "Lee eats")),
+        (3, words.replace("The bus", "A bus")),
+        *((i, f"{mark} {short}") for i, mark in enumerate(("1)", "-", "(a)", "so", '"'), 4)),
+    ]
+    got = found_in(spark, documents, rows, [(10, story), (11, words), (12, short)])
+    assert set(got) == {(1, 10), (3, 11), *((i, 12) for i in range(4, 9))}
+    assert got[1, 10].share == 1 and not got[1, 10].verbatim
