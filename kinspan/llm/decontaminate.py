@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders.
 
 Documents and benchmark items are cut into windows of template words; windows meet by a hash join.
-Each window has a key of its actual words and keys of its template. A
+Each window has a key of its actual words, so exact copies always meet, and keys of its template. A
 capitalised word that opens a sentence may be a plain word or a name, so there is a key for either.
 Hits of an item on one diagonal (document position less item position)
 belong together, and count only if the filling of the placeholders is consistent: each value in the
@@ -32,8 +32,7 @@ from kinspan.llm.words import (
 from kinspan.operators.skew import lookup_join
 
 WINDOW = 8
-LEAST_WINDOW = 5  # items of fewer template words are not looked for
-LEAST_PLAIN = 4  # words of a window that are no placeholders, at least
+LEAST_PLAIN = 4  # words of a window that are no placeholders, at least, if values are replaced
 LEAST_SHARE = 0.5  # of the item's windows
 
 # Units that make a word after a number a placeholder (fixed values).
@@ -208,7 +207,7 @@ def template_windows(
                     # Copies meet by their words, whatever stands around them.
                     exact = gram_hashes(value, size, seed=_EXACT + size)
                     for at_word, window in (
-                        (np.flatnonzero(good), exact[good]),
+                        (np.flatnonzero(whole), exact[whole]),
                         *_readings(token, kind, size, min(least_plain, size), whole),
                     ):
                         if sent is not None:
@@ -357,11 +356,12 @@ def contaminated(
     enough plain words, if that is more. The diagonal with most windows is shown (of equal ones the
     first). `verbatim` says that all values are the item's own.
 
-    An item of fewer template words than `window` is one window; one of fewer than five is not looked
-    for. Texts that are null, empty or too short match nothing. Rows that share an id are judged one by one, and give one row. Of other columns nothing
+    An item of fewer template words than `window` is one window. Windows with fewer than
+    `least_plain` plain words match with their own values only. Texts that are null or empty match
+    nothing. Rows that share an id are judged one by one, and give one row. Of other columns nothing
     is read.
     """
-    sizes = list(range(min(LEAST_WINDOW, window), window + 1))
+    sizes = list(range(1, window + 1))
     items = template_windows(benchmark, "item_id", sizes, least_plain=least_plain)
     items = stored(items.dropDuplicates(["id", "copy", "window", "pos"]), "benchmark-windows")
     used = sorted(r[0] for r in items.select("size").distinct().collect())  # at most `window` rows

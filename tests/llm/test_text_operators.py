@@ -283,3 +283,19 @@ def test_decontamination_reads_words_that_open_sentences_both_ways(spark, docume
     got = found_in(spark, documents, rows, [(10, story), (11, words), (12, short)])
     assert set(got) == {(1, 10), (3, 11), *((i, 12) for i in range(4, 9))}
     assert got[1, 10].share == 1 and not got[1, 10].verbatim
+
+
+def test_decontamination_finds_copies_with_few_plain_words(spark, documents):
+    items = [
+        "Compute 12 35 7 4 9",
+        "7 12 35 40 51 66 70 82 93 104 115",
+        "Tom Dick Harry Anna Maria Peter Paul Mary Jonas",
+        "WHO WROTE THE BOOK OF THE DEAD IN EGYPT",
+        "Define inertia briefly",
+        "2 + 2",
+    ]
+    rows = [(i, f"so we say: {text} and more of it") for i, text in enumerate(items)]
+    rows += [(10, items[1].replace("70", "71")), (11, "Compute 13 36 8 5 10"), (12, "Define inertia")]
+    got = found_in(spark, documents, rows, list(enumerate(items)))
+    assert set(got) == {(i, i) for i in range(len(items))}
+    assert all(r.verbatim and r.share == 1 for r in got.values())
