@@ -3,7 +3,7 @@
 Documents and benchmark items are cut into windows of template words; windows meet by a hash join.
 Each window has a key of its actual words, so exact copies always meet, and keys of its template. A
 capitalised word that opens a sentence may be a plain word or a name, so there is a key for either.
-Hits of an item on one diagonal (document position less item position)
+Hits of an item on one diagonal (document position less item position) or on diagonals close by
 belong together, and count only if the filling of the placeholders is consistent: each value in the
 item always stands for one and the same value in the document. So verbatim questions are found as
 well as questions whose numbers, names and units were replaced throughout.
@@ -34,6 +34,8 @@ from kinspan.operators.skew import lookup_join
 WINDOW = 8
 LEAST_PLAIN = 4  # words of a window that are no placeholders, at least, if values are replaced
 LEAST_SHARE = 0.5  # of the item's windows
+LEAST_RUN = 50  # words of an item that stand together, whatever share of the item they are
+MOST_SHIFT = 16  # between the diagonals of one passage
 
 # Units that make a word after a number a placeholder (fixed values).
 UNITS = (
@@ -309,25 +311,80 @@ def _settled(hits: list[Hit]) -> list[Hit] | None:
     return [h for h in hits if all(c[0] == c[1] or _agree(want[c[0]], c) for c in h[5])]
 
 
+def _covered(hits: list[Hit]) -> set[int]:
+    return {h[0] + j for h in hits for j in range(len(h[5]))}
+
+
+def _longest(words: set[int]) -> int:
+    """Length of the longest run of consecutive numbers."""
+    best = run = 0
+    last = None
+    for w in sorted(words):
+        run = run + 1 if last is not None and w == last + 1 else 1
+        best, last = max(best, run), w
+    return best
+
+
+def _consistent_run(hits: list[Hit]) -> list[Hit]:
+    """The hits in the longest consistent run of words of an inconsistent diagonal."""
+    cells = {h[0] + j: c for h in hits if h[4] for j, c in enumerate(h[5])}
+    low, last, best = 0, None, (0, 0)
+    filled: dict[int, tuple[Cell, int, int]] = {}  # where last, and where last filled otherwise
+    for w in sorted(cells):
+        if last is None or w != last + 1:
+            low = w
+        cell, last = cells[w], w
+        if _fixed(cell):
+            before, at, other = filled.get(cell[0], (cell, -1, -1))
+            other = other if _agree(before, cell) else at
+            low = max(low, other + 1)
+            filled[cell[0]] = (cell, w, other)
+        if w + 1 - low > best[1] - best[0]:
+            best = (low, w + 1)
+    return [h for h in hits if h[4] and best[0] <= h[0] and h[0] + len(h[5]) <= best[1]]
+
+
 def _judged(
-    hits: list[Hit], n: int, n_good: int, least_share: float
+    hits: list[Hit], n: int, n_good: int, words_good: int, least_share: float, least_run: int
 ) -> tuple | None:
-    """n_windows, item_windows, share, first_word, last_word, verbatim of the best
-    diagonal, or None if there is too little of the item."""
+    """n_windows, item_windows, share, first_word, last_word, verbatim of the best passage among
+    hits on diagonals close by, or None if there is too little of the item."""
     size = len(hits[0][5])
     lines: dict[int, list[Hit]] = defaultdict(list)
     for hit in {(h[0], h[1]): h for h in hits}.values():
         lines[hit[1] - hit[0]].append(hit)
-    best = None
+    usable = []
     for line in lines.values():
-        passage = _settled(line)
-        if not passage:
-            continue
-        share = len({h[0] for h in passage}) / (n - size + 1)
-        good = {h[0] for h in passage if h[4]}
+        kept = _settled(line)
+        if kept is None:
+            kept = _settled(_consistent_run(line))
+            if kept and _longest(_covered(kept)) < least_run:
+                continue
+        if kept:
+            usable.append(kept)
+    usable.sort(key=lambda line: (-len(line), line[0][1]))
+    best = None
+    for k, line in enumerate(usable):
+        passage, words = line, _covered(line)
+        for other in usable[:k] + usable[k + 1 :]:
+            if len(words) == n:
+                break
+            if abs(other[0][1] - other[0][0] - line[0][1] + line[0][0]) <= MOST_SHIFT:
+                both = _settled(passage + other)
+                if both is None:  # what is filled otherwise at the seam goes
+                    both = _settled(passage + _fitting(other, _filled(passage)))
+                if both and len(more := _covered(both)) > len(words):
+                    passage, words = both, more
+        # As many windows as fit in the words that are covered, as if these stood together.
+        share = (len(words) - size + 1) / (n - size + 1)
+        good = [h for h in passage if h[4]]
         if good:
-            share = max(share, len(good) / n_good)
-        if share < least_share:
+            share = max(
+                share,
+                len({h[0] for h in good}) / n_good,
+                (len(_covered(good)) - size + 1) / (words_good - size + 1),
+            )
+        if share < least_share and _longest(words) < least_run:
             continue
         found = (
             len({h[0] for h in passage}),
@@ -339,6 +396,8 @@ def _judged(
         )
         if best is None or (found[0], -found[3]) > (best[0], -best[3]):
             best = found
+        if len(words) == n:
+            break
     return best
 
 
@@ -348,12 +407,15 @@ def contaminated(
     window: int = WINDOW,
     least_plain: int = LEAST_PLAIN,
     least_share: float = LEAST_SHARE,
+    least_run: int = LEAST_RUN,
 ) -> DataFrame:
     """-> doc_id, item_id, n_windows, item_windows, share, first_word, last_word, verbatim.
 
-    One row per document and item of which `least_share` of the windows, or more, stand on one
-    diagonal of the document with consistent placeholders; `share` is counted over the windows with
-    enough plain words, if that is more. The diagonal with most windows is shown (of equal ones the
+    One row per document and item of which a passage has `least_share` of the windows, or a run of
+    `least_run` words, with consistent placeholders. A passage is one diagonal and others at most
+    MOST_SHIFT words beside it, so words may be put in or left out; `share` is counted over the words
+    that are covered, as if they stood together, or over the windows with enough plain words, if that
+    is more; n_windows are those found. The passage with most windows is shown (of equal ones the
     first). `verbatim` says that all values are the item's own.
 
     An item of fewer template words than `window` is one window. Windows with fewer than
@@ -385,8 +447,10 @@ def contaminated(
     )
     hits = lookup_join(
         found.drop("good", "n", "n_good", "words_good"), item, ["window", "size"]
-    ).withColumn("band", F.col("pos") - F.col("item_pos"))
-    # An item has a bounded number of windows, and so has a diagonal.
+    ).withColumn("band", F.floor((F.col("pos") - F.col("item_pos")) / MOST_SHIFT))
+    # Diagonals that lie MOST_SHIFT apart share one of the two bands each is in. An item has a
+    # bounded number of windows, and so has a band.
+    hits = hits.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     keys = ["id", "copy", "item_id", "item_copy", "band"]
     names = [
         *keys, "item_pos", "pos", "word", "words", "item_good", "item_values", "values", "item_kinds",
@@ -403,7 +467,7 @@ def contaminated(
             places = (g[c] for c in ("item_pos", "pos", "word", "words", "item_good"))
             passage = _judged(
                 list(zip(*places, cells, strict=True)),
-                g["n"][0], g["n_good"][0], least_share,
+                g["n"][0], g["n_good"][0], g["words_good"][0], least_share, least_run,
             )
             if passage:
                 rows.append((g["id"][0], g["item_id"][0], *passage))

@@ -299,3 +299,45 @@ def test_decontamination_finds_copies_with_few_plain_words(spark, documents):
     got = found_in(spark, documents, rows, list(enumerate(items)))
     assert set(got) == {(i, i) for i in range(len(items))}
     assert all(r.verbatim and r.share == 1 for r in got.values())
+
+
+def test_decontamination_adds_up_diagonals_and_takes_long_runs(spark, documents):
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(290)]
+    short, middle, long = words[:20], words[20:60], words[40:]
+    named = [*short[:10], "Tom", *short[11:]]
+    unit = [*short[:9], "5", "km", *short[11:]]
+    rows = [
+        [*short[:10], "extra", *short[10:]],
+        [*short[:10], *short[11:]],
+        [*middle[:20], "extra", *middle[20:]],
+        [*named[:10], "Mary", "Ann", *named[11:]],
+        [*unit[:10], "square", "km", *unit[11:]],
+        long[70:170],
+        long[70:110],
+        [*short[:10], *["far"] * 40, *short[10:]],
+        [*long[:60], "Tom", *long[61:200]],
+    ]
+    items = [short, middle, long, named, unit]
+    got = found_in(
+        spark,
+        documents,
+        [(i, " ".join(r)) for i, r in enumerate(rows)],
+        [(i, " ".join(r)) for i, r in enumerate(items)],
+    )
+    near = {(i, j) for i in (0, 1, 3, 4) for j in (0, 3, 4)}  # items 0, 3 and 4 differ in two words
+    assert {(0, 0), (1, 0), (2, 1), (3, 3), (4, 4), (5, 2), (8, 2)} <= set(got)
+    assert set(got) - near == {(2, 1), (5, 2), (8, 2)}
+
+
+def test_decontamination_takes_names_of_several_words(spark, documents):
+    story = (
+        "Then Tom has 3 red apples at home. Later Tom gives 2 of the apples away. Today Tom eats"
+        " another 4 green apples. How many apples has Tom left at the end?"
+    )
+    rows = [
+        (1, story.replace("Tom", "Mary Ann")),
+        (2, story.replace("Tom has", "Mary Ann has").replace("Tom gives", "Sue gives").replace("Tom eats", "Bob eats")),
+    ]
+    got = found_in(spark, documents, rows, [(10, story), (11, story.replace("Tom", "Paul James Lee"))])
+    assert set(got) == {(1, 10), (1, 11)}
