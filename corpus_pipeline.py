@@ -34,16 +34,40 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def by_text(docs: DataFrame) -> DataFrame:
+    """`docs` with _key, a hash of the text, as ids may be null or repeated."""
+    return docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked documents the one with the smallest id."""
-    first = ngram_classes(docs).filter("doc_id <> class_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_anti").select(*docs.columns)
+    """Of each class of linked documents the one with the smallest id.
+
+    Rows without an id come last, and of rows that share an id the smallest hash of the text comes
+    first. Rows alike in id and text stay or go together; texts without words stay.
+    """
+    keyed = by_text(docs)
+    classes = ngram_classes(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    classes = classes.filter("n_ngrams > 0").groupBy(F.col("doc_id").alias("_key"))
+    classes = classes.agg(F.min("class_id").alias("_class"))
+    smallest = keyed.groupBy("_key").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id")).alias("_id"))
+    first = classes.join(smallest, "_key").groupBy("_class")
+    first = first.agg(F.min(F.struct("_id", "_key")).alias("_first"))
+    first = first.select(F.col("_first._id.doc_id").alias("_id"), F.col("_first._key").alias("_sign"))
+    same = F.col("_key") == F.col("_sign")
+    same &= F.col("doc_id").eqNullSafe(F.col("_id"))
+    rows = keyed.select("doc_id", "_key", "text").filter(r"text rlike '[^\\t-\\r ]'")
+    rest = rows.select("doc_id", "_key").distinct().join(first, same, "left_anti")
+    rest = rest.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_sign"))
+    return keyed.join(rest, same, "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = contaminated(docs, queries.table(spark, sf_dir, "benchmark")).select("doc_id")
-    return docs.join(found.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a passage of the benchmark, judged by their text, whatever their id."""
+    keyed = by_text(docs)
+    texts = keyed.select(F.col("_key").alias("doc_id"), "text")
+    found = contaminated(texts, queries.table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

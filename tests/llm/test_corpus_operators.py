@@ -317,3 +317,21 @@ def test_pipeline(spark, small_dir):
     assert {r.doc_id for r in final.select("doc_id").distinct().collect()} == {i for i, _ in texts[4]}
     used = final.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
     assert max(r.n for r in used) <= 4096
+
+
+def test_stages_judge_rows_with_repeated_and_null_ids_one_by_one(spark, documents, small_dir):
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(400)]
+    first, second, third, fourth = (" ".join(words[i : i + 100]) for i in range(0, 400, 100))
+    item = spark.read.parquet(f"{small_dir}/benchmark.parquet").first().text
+    rows = [
+        (1, first), (2, first + " end"), (2, second), (3, third), (3, third + " end"),
+        (None, fourth), (None, fourth + " end"), (5, fourth + " fin"), (None, ""), (7, " "), (8, None),
+    ]
+    left = {(r.doc_id, r.text) for r in corpus_pipeline.near(spark, documents(rows), small_dir).collect()}
+    kept = {x for x in left if x[0] == 3}
+    assert len(kept) == 1 and kept <= {rows[3], rows[4]}
+    assert left - kept == {rows[0], rows[2], *rows[7:]}
+    rows = [(1, first), (1, f"{second} {item}"), (None, third), (None, f"{fourth} {item}"), (2, item)]
+    found = corpus_pipeline.decontaminate(spark, documents(rows), small_dir)
+    assert {(r.doc_id, r.text) for r in found.collect()} == {rows[0], rows[2]}
