@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinspan.llm import audit_queries
 from kinspan.llm.chat import format_conversations, read_back
 from kinspan.llm.decontaminate import contaminated
 from kinspan.llm.exact_dedup import exact_dedup
@@ -17,21 +17,10 @@ from kinspan.llm.ngram_join import ngram_classes
 from kinspan.llm.packing import pack, tokenized_pieces
 from kinspan.llm.quality import quality_scores
 from kinspan.llm.substring_dedup import remove_repeats
+from kinspan.llm.tables import table
 from kinspan.llm.token_counts import token_counts
 from kinspan.operators.skew import lookup_join
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Python workers find this package as the driver does."""
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if ROOT not in paths.split(os.pathsep):
-        joined = os.pathsep.join(filter(None, [ROOT, paths]))
-        spark.sparkContext.environment["PYTHONPATH"] = joined
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -108,7 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat,
         op10_packing,
     )
-}
+} | audit_queries.QUERIES
 
 ORACLES: dict[str, str] = {
     "op2_ngram_join": r"""
@@ -162,4 +151,4 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
-}
+} | audit_queries.ORACLES

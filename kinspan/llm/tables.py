@@ -1,17 +1,30 @@
-"""Intermediate results as Parquet in the shared folder, which outlives lost executors."""
+"""Given tables, and intermediate results as Parquet in the shared folder, which outlives lost executors."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinspan.session import fresh_path
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers find this package as the driver does."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        joined = os.pathsep.join(filter(None, [ROOT, paths]))
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to a new table in the shared folder, and read again: it is computed once."""
     path = fresh_path(df.sparkSession, name)
