@@ -87,8 +87,8 @@ def id_of_row_key(row_key: Column) -> Column:
 
 
 def millis_of_row_key(row_key: Column) -> Column:
-    """Epoch milliseconds of an `id_epochMillis` row key."""
-    return F.substring_index(row_key, "_", -1).cast("bigint")
+    """Epoch milliseconds of an `id_epochMillis` row key, NULL where it does not end in a number."""
+    return F.substring_index(row_key, "_", -1).try_cast("bigint")
 
 
 def null_if_literal(text: Column, literal: str = "NULL") -> Column:

@@ -63,9 +63,10 @@ def degrees(edges: DataFrame) -> DataFrame:
     return edge_ends(edges).groupBy("key").agg(row_count().alias("degree"))
 
 
-def degree_distribution(edges: DataFrame) -> DataFrame:
-    """-> degree, vertex_count, by degree."""
-    return degrees(edges).groupBy("degree").agg(row_count().alias("vertex_count")).orderBy("degree")
+def degree_distribution(edges: DataFrame, text_order: bool = False) -> DataFrame:
+    """-> degree, vertex_count, by degree, or by its digits as text: 1, 10, 2."""
+    order = F.col("degree").cast("string") if text_order else F.col("degree")
+    return degrees(edges).groupBy("degree").agg(row_count().alias("vertex_count")).orderBy(order)
 
 
 def _total(column: str) -> Column:
@@ -153,11 +154,24 @@ def listed_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def pair_lookup_raw(pairs: DataFrame, edges: DataFrame, label: str | None = None) -> DataFrame:
+def pair_lookup_raw(
+    pairs: DataFrame,
+    edges: DataFrame,
+    label: str | None = None,
+    vertices: DataFrame | None = None,
+    on_missing: str = "zero",
+) -> DataFrame:
     """-> key1, key2, listed, edge_count: edges between the keys, whichever way they point.
 
     Edges are counted per pair before the join, so a pair with very many edges is one row in it.
+    A pair with an unknown key has none; with `on_missing="error"` it raises, given the vertices.
     """
+    if on_missing not in ("zero", "error"):
+        raise ValueError(f"on_missing is zero or error: {on_missing!r}")
+    if on_missing == "error":
+        if vertices is None:
+            raise ValueError("vertices are needed to tell unknown keys")
+        demand_known(pairs, vertices)
     wanted = edges if label is None else edges.filter(F.col("label") == label)
     listed = listed_pairs(pairs)
     per_pair = (
@@ -211,6 +225,15 @@ def missing_keys(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
     return listed.join(known, "key", "left_anti")
 
 
+def demand_known(pairs: DataFrame, vertices: DataFrame, shown: int = 10) -> None:
+    """Raise if a listed endpoint is not the key of a vertex; the message has `shown` of them."""
+    missing = missing_keys(pairs, vertices)
+    first = [row.key for row in missing.orderBy("key").limit(shown + 1).collect()]
+    if first:
+        more = " and more" if len(first) > shown else ""
+        raise KeyError(f"not the key of a vertex: {', '.join(map(str, first[:shown]))}{more}")
+
+
 def incident_edges_raw(keys: DataFrame, edges: DataFrame) -> DataFrame:
     """-> key, listed, time, value: every edge at each listed key."""
     ends = incidence(edges.select("src", "dst", "time", "value")).withColumnRenamed("v", "key")
@@ -232,7 +255,7 @@ def incident_edges_summary(keys: DataFrame, summary: DataFrame, events: DataFram
 
 
 def decode_row_keys(cells: DataFrame) -> DataFrame:
-    """Cells keyed `edgeId_time` -> edge_id, time, value."""
+    """Cells keyed `edgeId_time` -> edge_id, time, value; time is NULL for a key of another form."""
     return cells.select(
         id_of_row_key(F.col("row_key")).alias("edge_id"),
         millis_of_row_key(F.col("row_key")).alias("time"),
@@ -240,6 +263,13 @@ def decode_row_keys(cells: DataFrame) -> DataFrame:
     )
 
 
+def malformed_row_keys(cells: DataFrame) -> DataFrame:
+    """-> malformed: cells whose row key is not `edgeId_time`."""
+    key = F.col("row_key")
+    whole = F.coalesce((id_of_row_key(key) != "") & millis_of_row_key(key).isNotNull(), F.lit(False))
+    return cells.agg(F.count_if(~whole).alias("malformed"))
+
+
 def lookup_summary(incident: DataFrame) -> DataFrame:
     """-> total_edges, vertex_count, edges_per_vertex of an incident edge lookup."""
     per_key = incident.groupBy("key").agg(F.max("listed").alias("listed"), row_count().alias("edges"))

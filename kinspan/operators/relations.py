@@ -5,41 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinspan.functions.text import RELATION_SEP, split_all, trimmed_size
+from kinspan.functions.select import select_where
+from kinspan.functions.text import RELATION_SEP
 from kinspan.functions.times import parse_millis
-from kinspan.operators.rows import select_where
 from kinspan.operators.skew import fits_broadcast, key_counts, only_listed, skew_join
 from kinspan.session import reliable
+from kinspan.sources.lines import (  # noqa: F401 - parsing is part of this module's interface
+    HALF_FIELDS,
+    KEY1_INDEX,
+    KEY2_INDEX,
+    NOT_ENOUGH_FIELDS,
+    TIME_INDEX,
+    parse_relations,
+)
 
-# Layout of a relation line (fixed values): two halves of 19 fields each.
-HALF_FIELDS = 19
-KEY1_INDEX, KEY2_INDEX, TIME_INDEX = 0, 19, 9
-
-NOT_ENOUGH_FIELDS = "not enough fields"
 KEY1_NOT_FOUND = "key1 not found"
 KEY2_NOT_FOUND = "key2 not found"
 
 
-def parse_relations(
-    lines: DataFrame,
-    key1_idx: int = KEY1_INDEX,
-    key2_idx: int = KEY2_INDEX,
-    time_idx: int = TIME_INDEX,
-    sep: str = RELATION_SEP,
-) -> DataFrame:
-    """`value` lines -> raw, fields, field_count, key1, key2, time_text."""
-    pieces = lines.select(
-        F.col("value").alias("raw"), split_all(F.col("value"), sep).alias("fields")
-    )
-    return pieces.select(
-        "*",
-        trimmed_size(F.col("fields"), F.col("raw"), sep).alias("field_count"),
-        F.get("fields", F.lit(key1_idx)).alias("key1"),
-        F.get("fields", F.lit(key2_idx)).alias("key2"),
-        F.get("fields", F.lit(time_idx)).alias("time_text"),
-    )
-
-
 def mark_short_lines(relations: DataFrame, last_index: int = KEY2_INDEX) -> DataFrame:
     """Add `reject_reason`: set for a line that ends before the field `last_index`, or is NULL."""
     short = F.coalesce(F.col("field_count") <= last_index, F.lit(True))
@@ -50,15 +33,19 @@ def mark_unknown_endpoints(records: DataFrame, vertices: DataFrame) -> DataFrame
     """Set `reject_reason` where key1, else key2, is not the key of a vertex; NULL never is one.
 
     A vertex list too large to broadcast is first narrowed, by keys alone, to the endpoint keys it
-    lacks. These are usually few, and a broadcast of them spares the shuffles of whole lines.
+    lacks. These are usually few, and a broadcast of them spares the shuffles of whole lines. The
+    endpoints are written out for that, so lines are parsed twice, once for them and once for the
+    result. The vertices are counted, and beyond the limit the endpoints read, when this is called.
     """
     known = vertices.select("key").filter(F.col("key").isNotNull())
     small = fits_broadcast(known)
+    ends = records
     if small:
         marked, found = known.distinct(), True
     else:
+        ends = reliable(records.select("key1", "key2", "reject_reason"))
         endpoints = (
-            records.filter(F.col("reject_reason").isNull())
+            ends.filter(F.col("reject_reason").isNull())
             .select(F.explode(F.array("key1", "key2")).alias("key"))
             .distinct()
         )
@@ -73,7 +60,7 @@ def mark_unknown_endpoints(records: DataFrame, vertices: DataFrame) -> DataFrame
             flagged = flagged.join(F.broadcast(side), column, "left")
         else:
             # Counted before the joins, so that the second does not run the first twice.
-            counts = key_counts(records, [column])
+            counts = key_counts(ends, [column])
             flagged = skew_join(flagged, side, column, "left", left_counts=counts)
     unknown1 = F.col("key1").isNull() | (F.coalesce("_in1", F.lit(False)) != found)
     unknown2 = F.col("key2").isNull() | (F.coalesce("_in2", F.lit(False)) != found)

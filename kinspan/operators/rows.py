@@ -1,24 +1,15 @@
-"""Rows as a whole: selection after costly expressions, missing values."""
+"""Missing values."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinspan.functions.text import null_if_literal
 
 
-def select_where(df: DataFrame, condition: Column, *columns: Column) -> DataFrame:
-    """`columns` of the rows that meet `condition`, where the condition reads a computed column.
-
-    Spark pushes a filter below the projection that computes its input, say the split of a line,
-    and then computes that twice. A generator that yields one row or none is left in place.
-    """
-    return df.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
-
-
 def null_literals(df: DataFrame, cols: Sequence[str], literal: str = "NULL") -> DataFrame:
     """NULL in place of the text `literal`, in any case, in the given columns."""
     return df.withColumns({c: null_if_literal(F.col(c), literal) for c in cols})

@@ -18,7 +18,7 @@ from kinspan.sinks import files as K
 from kinspan.sinks import tables as B
 from kinspan.sources import files as P
 from kinspan.sources import text as X
-from kinspan.sources.schema import schema_from_json
+from kinspan.sources.schema import schema_from_json, violations
 
 
 @query(
@@ -70,7 +70,7 @@ def read_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line numbers of a key list over several files, by batches of 100 lines."""
     path = fresh_path(spark, "keys")
     keys = I.table(spark, sf_dir, "events").select(I.text_of("user_id").alias("key"))
-    I.spread(keys, "key").write.text(path)
+    keys.repartition(4, "key").write.text(path)
     return (
         X.read_keys(spark, path)
         .groupBy(F.floor(F.col("seq") / 100).alias("batch_id"))
@@ -93,6 +93,27 @@ def read_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """SELECT o_orderstatus AS status, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
+    FROM orders GROUP BY o_orderstatus"""
+)
+def manifest_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as text files in folders, opened by the tasks that get their names, two at a time."""
+    root = fresh_path(spark, "named")
+    orders = I.table(spark, sf_dir, "orders")
+    line = F.concat_ws("|", "o_orderkey", "o_orderstatus").alias("value")
+    orders.select(line, "o_orderstatus").repartition(5, "o_orderkey").write.partitionBy("o_orderstatus").text(
+        f"{root}/data"
+    )
+    names = P.file_inventory(spark, f"{root}/data").filter(F.col("path").endswith(".txt"))
+    K.write_text(names.select("path"), f"{root}/manifest")
+    lines = X.read_manifest(spark, f"{root}/manifest", lines_per_split=2)
+    key = F.substring_index("value", "|", 1).cast("bigint")
+    return lines.groupBy(F.substring_index("value", "|", -1).alias("status")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
+    )
+
+
 @query(
     """SELECT CAST(user_id AS VARCHAR) AS row_key, 'f' AS family, event_type AS qualifier,
     CAST(event_id AS VARCHAR) AS value FROM events WHERE event_type <> 'error'"""
@@ -198,6 +219,78 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT CAST(r_regionkey AS VARCHAR) AS folder, count(c_custkey) AS row_count,
+    CAST(coalesce(sum(strlen(c_name) + 1), 0) AS BIGINT) AS bytes, false AS has_empty
+    FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey
+    GROUP BY r_regionkey HAVING count(c_custkey) > 0
+    UNION ALL SELECT 'none', 0, 0, true"""
+)
+def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in a folder per region, two levels down, and a folder of empty files beside them."""
+    root = fresh_path(spark, "inventory")
+    nations = I.table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    customers = I.table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_name").alias("value"))
+    placed = customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    placed = placed.select("value", F.col("n_regionkey").alias("region"))
+    placed.write.partitionBy("region").text(f"{root}/some/deep")
+    placed.select("value").limit(0).write.text(f"{root}/none")
+
+    def plain(path: str) -> Column:
+        return F.regexp_replace(path, "^[a-z]+:/+", "/")
+
+    files = P.file_inventory(spark, root).withColumn("path", plain("path"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(root)
+    counts = lines.groupBy(plain("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    region = F.regexp_extract("path", r"region=([^/]+)/", 1)
+    return (
+        files.join(counts, "path", "left")
+        .groupBy(F.when(region == "", "none").otherwise(region).alias("folder"))
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+            F.sum("length").alias("bytes"),
+            F.bool_or(F.col("length") == 0).alias("has_empty"),
+        )
+    )
+
+
+@query(
+    """WITH raw AS (
+      SELECT CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 50 = 1 THEN CAST(c_custkey - 2 AS VARCHAR)
+               WHEN c_custkey % 50 = 2 THEN 'k' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS c_custkey,
+             c_mktsegment AS c_name, CASE WHEN c_acctbal < 0 THEN 'debt' ELSE CAST(c_acctbal AS VARCHAR) END AS c_acctbal
+      FROM customer),
+    per_key AS (SELECT c_custkey, count(*) AS n FROM raw WHERE c_custkey IS NOT NULL GROUP BY c_custkey),
+    per_name AS (SELECT c_name, count(*) AS n FROM raw GROUP BY c_name)
+    SELECT 'c_custkey' AS field, 'missing key' AS violation, NULL AS value, count(*) AS n
+      FROM raw WHERE c_custkey IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'c_custkey', 'repeated key', c_custkey, n FROM per_key WHERE n > 1
+    UNION ALL SELECT 'c_custkey', 'not a LONG', c_custkey, count(*) FROM raw
+      WHERE c_custkey LIKE 'k%' GROUP BY c_custkey
+    UNION ALL SELECT 'c_acctbal', 'not a DOUBLE', c_acctbal, count(*) FROM raw
+      WHERE c_acctbal = 'debt' GROUP BY c_acctbal
+    UNION ALL SELECT 'c_name', 'repeated value', c_name, n FROM per_name WHERE n > 1"""
+)
+def descriptor_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer lines with missing, repeated and misspelt keys, and balances that are no numbers."""
+    key, rest = F.col("c_custkey"), F.col("c_custkey") % 50
+    raw = I.table(spark, sf_dir, "customer").select(
+        F.when(rest == 0, F.lit(None))
+        .when(rest == 1, (key - 2).cast("string"))
+        .when(rest == 2, F.concat(F.lit("k"), key))
+        .otherwise(key.cast("string"))
+        .alias("c_custkey"),
+        F.col("c_mktsegment").alias("c_name"),
+        F.when(F.col("c_acctbal") < 0, "debt").otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"),
+    )
+    fields = [
+        {"offset": 0, "name": "c_custkey", "dataType": "LONG", "isPrimaryKey": True},
+        {"offset": 1, "name": "c_name", "dataType": "STRING", "isUnique": True},
+        {"offset": 2, "name": "c_acctbal", "dataType": "DOUBLE"},
+    ]
+    return violations(raw, schema_from_json(json.dumps(fields)))
+
+
 @query("SELECT c_custkey, c_name, c_acctbal, CAST(c_nationkey AS INTEGER) AS c_nationkey FROM customer")
 def read_described(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers as text, read by a schema whose descriptor lists the fields in another order."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinspan.operators import graph as G
 from kinspan.operators import relations as R
+from kinspan.operators import skew
 from kinspan.operators import traversal as T
+from kinspan.operators import two_level as L
 from kinspan.plans import inputs as I
 from kinspan.plans.registry import query
 from kinspan.session import fresh_path
@@ -26,6 +28,20 @@ def degree_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.degree_distribution(I.edges(spark, sf_dir))
 
 
+@query(
+    f"""WITH {I.GRAPH_SQL}, counted AS (SELECT degree, count(*) AS n FROM degrees GROUP BY degree)
+    SELECT CAST(row_number() OVER (ORDER BY CAST(degree AS VARCHAR)) - 1 AS BIGINT) AS place, degree,
+           n AS vertex_count FROM counted"""
+)
+def degree_distribution_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places that degrees take when they are put in order as text."""
+    ordered = G.degree_distribution(I.edges(spark, sf_dir), text_order=True)
+    # A row per degree, so a window without partitions holds few.
+    below = Window.orderBy(F.col("degree").cast("string"))
+    place = (F.row_number().over(below) - 1).cast("bigint").alias("place")
+    return ordered.select(place, "degree", "vertex_count")
+
+
 @query(f"WITH {I.GRAPH_SQL} SELECT v, other, label, time, value FROM incidence")
 def incidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.incidence(I.edges(spark, sf_dir))
@@ -132,12 +148,16 @@ events2 AS (
   FROM valid GROUP BY ALL)"""
 
 
-def _two_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Summary edges and detail rows over stored columns; a lookup reads those that it needs."""
-    path = fresh_path(spark, "valid")
-    I.valid(spark, sf_dir).write.parquet(path)
-    valid = spark.read.parquet(path)
-    return R.summary_edges(valid, I.LABEL), R.pair_events(valid, I.LABEL, 1)
+_STORED: dict[tuple[str, str, int], L.TwoLevel] = {}
+
+
+def _two_level(spark: SparkSession, sf_dir: str) -> L.TwoLevel:
+    """The layout, written by the first query of a session that needs it; lookups only read it."""
+    known = spark.sparkContext.applicationId, sf_dir, skew.HOT_ROWS
+    if known not in _STORED:
+        valid = I.valid(spark, sf_dir)
+        _STORED[known] = L.store_two_level(valid, I.LABEL, fresh_path(spark, "two-level"), 1)
+    return _STORED[known]
 
 
 @query(
@@ -147,8 +167,7 @@ def _two_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     FROM pair_list LEFT JOIN per_edge ON a = least(key1, key2) AND b = greatest(key1, key2)"""
 )
 def pair_lookup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary, events = _two_level(spark, sf_dir)
-    return G.pair_lookup_summary(I.pair_list(spark, sf_dir), summary, events, I.LABEL)
+    return L.pair_lookup(I.pair_list(spark, sf_dir), _two_level(spark, sf_dir))
 
 
 @query(
@@ -188,8 +207,7 @@ def incident_edges_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT key, listed, time, value FROM listed JOIN ends USING (key)"""
 )
 def incident_edges_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary, events = _two_level(spark, sf_dir)
-    return G.incident_edges_summary(I.key_list(spark, sf_dir), summary, events)
+    return L.incident_lookup(I.key_list(spark, sf_dir), _two_level(spark, sf_dir))
 
 
 @query(
@@ -207,7 +225,19 @@ def lookup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {SUMMARY_SQL} SELECT a || ':' || b || ':{I.LABEL}' AS edge_id, time, value FROM events2"""
 )
 def decoded_row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.decode_row_keys(R.row_keyed(_two_level(spark, sf_dir)[1]))
+    return G.decode_row_keys(R.row_keyed(_two_level(spark, sf_dir).events.rows(spark)))
+
+
+@query(
+    f"""WITH {SUMMARY_SQL} SELECT count(*) FILTER (a = '' OR time % 2 = 1) AS malformed FROM events2"""
+)
+def malformed_row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row keys, of which those of odd times are given a letter; none ends the job."""
+    cells = R.row_keyed(_two_level(spark, sf_dir).events.rows(spark))
+    odd = F.pmod(F.substring_index("row_key", "_", -1).cast("bigint"), F.lit(2)) == 1
+    return G.malformed_row_keys(
+        cells.withColumn("row_key", F.when(odd, F.concat("row_key", F.lit("x"))).otherwise(F.col("row_key")))
+    )
 
 
 @query(
@@ -247,7 +277,7 @@ def vertex_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two hops along sales from every supplier."""
     return T.k_hop(
-        I.supplier_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), 2, "sale"
+        I.supplier_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir), 2, "sale"
     )
 
 
@@ -265,7 +295,7 @@ sizes AS (SELECT key AS seed, listed, coalesce(n, 0) AS set_size
 @query(f"WITH {_hop_sizes_sql(2)} SELECT seed, listed, set_size FROM sizes")
 def k_hop_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.k_hop_sizes(
-        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), 2
+        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir), 2
     )
 
 
@@ -275,7 +305,7 @@ def k_hop_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def k_hop_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.k_hop_average(
-        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), 2
+        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir), 2
     )
 
 
@@ -304,14 +334,14 @@ LISTED_SEEDS = "SELECT key FROM key_list JOIN vertices USING (key)"
 def local_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vertex as a seed."""
     return T.local_clustering(
-        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True)
+        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir)
     )
 
 
 @query(f"WITH {_clustering_sql(ALL_SEEDS, False)} SELECT seed, listed, n, adj, local_cc FROM clustering")
 def local_clustering_no_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.local_clustering(
-        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True), drop_loops=True
+        I.all_keys(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir), drop_loops=True
     )
 
 
@@ -322,6 +352,6 @@ def local_clustering_no_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def average_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over a key list with repeats and unknown keys."""
     average = T.average_clustering(
-        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir, dealt=True)
+        I.key_list(spark, sf_dir), I.parts(spark, sf_dir), I.edges(spark, sf_dir)
     )
     return average.select(F.round("avg_cc", 9).alias("avg_cc"))

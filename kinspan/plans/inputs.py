@@ -20,15 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out the rows of a scan that would leave half of the session's cores idle.
-
-    A table of many files has many splits and is left alone, so nothing large is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if 2 * df.rdd.getNumPartitions() <= cores else df
-
-
 def text_of(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -41,14 +32,9 @@ ITEM_COLUMNS = (
 )
 
 
-def supply(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
-    """-> key1, key2, time_text, order, line, label, tax, discount, ms: one row per line item.
-
-    `dealt` is for queries that do much work per record.
-    """
+def supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """-> key1, key2, time_text, order, line, label, tax, discount, ms: one row per line item."""
     items = table(spark, sf_dir, "lineitem").select(*ITEM_COLUMNS)
-    if dealt:
-        items = spread(items, "l_orderkey", "l_linenumber")
     returned = F.col("l_returnflag") == "R"
     month = F.date_trunc("month", "l_shipdate")
     return items.select(
@@ -86,7 +72,7 @@ def relation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [special.get(i, F.lit(f"f{i}")) for i in range(FIELDS)]
     whole = F.concat_ws(RELATION_SEP, *fields)
     short = F.concat_ws(RELATION_SEP, *fields[:10])
-    records = supply(spark, sf_dir, dealt=True)
+    records = supply(spark, sf_dir)
     return records.select(F.when(F.col("tax") == 0.08, short).otherwise(whole).alias("value"))
 
 
@@ -159,9 +145,9 @@ validated AS (
 valid AS (SELECT key1, key2, time_ms, raw FROM validated WHERE reject_reason IS NULL)"""
 
 
-def edges(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """-> src, dst, label, time, value: the supply graph, suppliers being its hubs."""
-    return supply(spark, sf_dir, dealt).select(
+    return supply(spark, sf_dir).select(
         F.col("key1").alias("src"),
         F.col("key2").alias("dst"),
         "label",

@@ -12,6 +12,8 @@ from kinspan.operators.cells import row_keys
 from kinspan.operators.rows import null_literals as rows_with_nulls
 from kinspan.plans import inputs as I
 from kinspan.plans.registry import query
+from kinspan.session import fresh_path
+from kinspan.sinks import versions as V
 
 ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
@@ -52,6 +54,46 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.upsert(I.table(spark, sf_dir, "customer"), updates, ["c_custkey"], "l_shipdate")
 
 
+@query(
+    """WITH updates AS (
+      SELECT DISTINCT l_orderkey AS o_orderkey, true AS touched FROM lineitem WHERE l_orderkey <= 40),
+    changed AS (
+      SELECT o_orderkey, o_custkey, CASE WHEN touched THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+      FROM orders LEFT JOIN updates USING (o_orderkey)
+      UNION ALL SELECT -1, -1, 'N' UNION ALL SELECT NULL, -2, 'N')
+    SELECT 1 AS version, o_orderkey, o_custkey, o_orderstatus, true AS shares FROM orders
+    UNION ALL SELECT 2, o_orderkey, o_custkey, o_orderstatus, true FROM changed
+    UNION ALL SELECT 3, o_orderkey, o_custkey, o_orderstatus, true FROM changed
+    UNION ALL SELECT 3, NULL, -3, 'A', true"""
+)
+def upsert_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as version 1, an upsert of few keys, a new and a null one as 2, an appended row as 3.
+
+    Each later version shares files with the one before.
+    """
+    root = fresh_path(spark, "orders-table")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    orders = I.table(spark, sf_dir, "orders").select(*columns)
+    V.create_table(orders, root, ["o_orderkey"], files=8)
+    hit = I.table(spark, sf_dir, "lineitem").filter("l_orderkey <= 40")
+    hit = hit.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    updates = orders.join(hit, "o_orderkey", "left_semi").withColumn("o_orderstatus", F.lit("X"))
+    fresh = spark.createDataFrame([(-1, -1, "N"), (None, -2, "N"), (None, -2, "A")], orders.schema)
+    updates = updates.unionByName(fresh)
+    V.upsert_table(spark, root, updates, ["o_orderkey"], "o_orderstatus")
+    V.append_table(spark, root, spark.createDataFrame([(None, -3, "A")], orders.schema), ["o_orderkey"])
+    read = None
+    for version in V.versions(spark, root):
+        files = V.version_files(spark, root, version).select("file")
+        before = V.version_files(spark, root, max(1, version - 1)).select("file")
+        shares = not files.join(before, "file", "left_semi").isEmpty()
+        rows = V.read_table_version(spark, root, version).select(
+            F.lit(version).alias("version"), *columns, F.lit(shares).alias("shares")
+        )
+        read = rows if read is None else read.unionByName(rows)
+    return read
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.event_type_counts(I.table(spark, sf_dir, "events"))
@@ -68,6 +110,7 @@ COUNTED = [
     "l_suppkey",
     "l_linenumber",
     "l_quantity",
+    "l_extendedprice",
     "l_discount",
     "l_tax",
     "l_returnflag",
@@ -81,17 +124,16 @@ def _cardinalities_sql(columns: list[str]) -> str:
     return "cards AS (" + " UNION ALL ".join(per_column) + ")"
 
 
-ALL_COUNTED = [*COUNTED, "l_extendedprice"]
-
-
-@query(f"WITH {_cardinalities_sql(ALL_COUNTED)} SELECT col, ndv FROM cards")
+@query(f"WITH {_cardinalities_sql(COUNTED)} SELECT col, ndv FROM cards")
 def cardinalities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.cardinalities(I.table(spark, sf_dir, "lineitem"), ALL_COUNTED)
+    return T.cardinalities(I.table(spark, sf_dir, "lineitem"), COUNTED)
 
 
 @query(
     f"""WITH {_cardinalities_sql(COUNTED)},
-    total AS (SELECT round(sum(log10(ndv)), 6) AS log10_product, product(ndv) AS p FROM cards),
+    total AS (
+      SELECT round(sum(log10(ndv)), 6) AS log10_product,
+        list_reduce(list(CAST(ndv AS HUGEINT)), lambda a, b: a * b) AS p FROM cards),
     row_count AS (SELECT count(*) AS n FROM lineitem)
     SELECT log10_product, CASE WHEN p < 9223372036854775807 THEN CAST(p AS BIGINT) END AS product,
            CASE WHEN p < n THEN CAST(p AS BIGINT) ELSE n END AS capped_product
@@ -102,6 +144,47 @@ def cardinality_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product.withColumn("log10_product", F.round("log10_product", 6))
 
 
+SKETCHED = {"lineitem": "l_partkey", "orders": "o_custkey", "customer": "c_custkey"}
+
+
+@query(
+    f"""WITH {_cardinalities_sql(COUNTED)} SELECT col, ndv AS exact, true AS within FROM cards
+    UNION ALL SELECT 'any key', count(DISTINCT k), true FROM (
+      SELECT l_partkey AS k FROM lineitem UNION ALL SELECT o_custkey FROM orders
+      UNION ALL SELECT c_custkey FROM customer)"""
+)
+def cardinality_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches per file against exact counts: each column, and one key over three tables."""
+    items = I.table(spark, sf_dir, "lineitem")
+    estimates = T.united_cardinalities(T.file_sketches(items, COUNTED), COUNTED)
+    exact = T.cardinalities(items, COUNTED).withColumnRenamed("ndv", "exact")
+    parts = [I.table(spark, sf_dir, t).withColumnRenamed(c, "any key") for t, c in SKETCHED.items()]
+    sketches, keys = None, None
+    for part in parts:
+        own = T.file_sketches(part, ["any key"])
+        sketches = own if sketches is None else sketches.unionByName(own)
+        key = part.select("any key")
+        keys = key if keys is None else keys.unionByName(key)
+    estimates = estimates.unionByName(T.united_cardinalities(sketches, ["any key"]))
+    exact = exact.unionByName(T.cardinalities(keys, ["any key"]).withColumnRenamed("ndv", "exact"))
+    off = F.abs(F.col("ndv") - F.col("exact")) <= F.ceil(F.col("exact") * F.col("error") * 3)
+    return exact.join(estimates, "col").select("col", "exact", off.alias("within"))
+
+
+@query(
+    f"""WITH {I.DOCUMENT_LINES_SQL}, drawn AS (
+      SELECT doc_id, line_no, value,
+        md5(concat_ws(chr(1), '7', CAST(doc_id AS VARCHAR), CAST(line_no AS VARCHAR))) AS draw
+      FROM document_lines)
+    SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, value FROM drawn ORDER BY draw
+    LIMIT (SELECT count(*) // 2 FROM document_lines)"""
+)
+def sample_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly half of all lines, in random order."""
+    lines = I.document_lines(spark, sf_dir)
+    return T.sample_lines(lines, lines.count() // 2, 7, ["doc_id", "line_no"])
+
+
 @query(
     f"""WITH {I.DOCUMENT_LINES_SQL} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, value
     FROM document_lines
@@ -143,13 +226,13 @@ def split_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') || ' 到哪' AS padded,
-    c_mktsegment || ' haha ' || c_name || ' ' || c_mktsegment AS positional FROM customer"""
+    """SELECT 'Nr. ' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') || ' – Straße' AS padded,
+    c_mktsegment || ' buys from ' || c_name || ', a ' || c_mktsegment || ' house' AS positional FROM customer"""
 )
 def formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.table(spark, sf_dir, "customer").select(
-        X.printf("%010d 到哪", F.col("c_custkey")).alias("padded"),
-        X.printf("%2$s haha %1$s %2$s", F.col("c_name"), F.col("c_mktsegment")).alias("positional"),
+        X.printf("Nr. %010d – Straße", F.col("c_custkey")).alias("padded"),
+        X.printf("%2$s buys from %1$s, a %2$s house", F.col("c_name"), F.col("c_mktsegment")).alias("positional"),
     )
 
 
@@ -183,6 +266,22 @@ def cased_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT doc_id, replace(upper(text), 'ẞ', 'SS') AS upper_text, lower(text) AS lower_text,
+    replace(replace(upper(text), 'ẞ', 'SS'), 'Ç', 'SS') || 'SS' AS sharp FROM documents"""
+)
+def cased_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with accents. A sharp s, put in for c with cedilla, has two letters as its capital."""
+    text = F.col("text")
+    sharp = F.concat(F.replace(F.replace(text, F.lit("ç"), F.lit("ß")), F.lit("Ç"), F.lit("ß")), F.lit("ß"))
+    return I.table(spark, sf_dir, "documents").select(
+        "doc_id",
+        X.upper_case(text).alias("upper_text"),
+        X.lower_case(text).alias("lower_text"),
+        X.upper_case(sharp).alias("sharp"),
+    )
+
+
 @query(
     """SELECT doc_id, CASE WHEN upper(lang) <> 'DE' THEN lang END AS lang,
     CASE WHEN upper(source) <> 'DE' THEN source END AS source FROM documents"""

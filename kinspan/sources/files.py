@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinspan.sources.inventory import OPENED, file_inventory, hadoop_inventory
+
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -18,26 +21,28 @@ def orc_long_values(df: DataFrame, row: str | None = None) -> DataFrame:
     """-> row, col, value for every integral column; `row` names the column that identifies a row.
 
     Only the integral columns are read from the file. Without `row` rows get unique numbers.
+    A table without integral columns has no values, so no rows.
     """
     names = [c for c, kind in df.dtypes if kind in INTEGRAL and c != row]
     identity = F.monotonically_increasing_id() if row is None else F.col(row)
+    if not names:
+        none = F.lit(None)
+        return df.limit(0).select(
+            identity.alias("row"), none.cast("string").alias("col"), none.cast("bigint").alias("value")
+        )
     longs = df.select(identity.alias("row"), *(F.col(c).cast("bigint").alias(c) for c in names))
     return longs.unpivot("row", names, "col", "value")
 
 
 def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """-> path, kind, length, modified of every file that is not empty; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
-    )
-    return files.select(
-        "path",
-        F.lit("file").alias("kind"),
-        "length",
-        F.col("modificationTime").alias("modified"),
-    )
+    """-> path, kind, length, modified of every file, empty ones too; contents are not read.
+
+    Folders are listed on the executors (`file_inventory`), or by Hadoop through the driver where
+    the path has a scheme that executors cannot open by themselves.
+    """
+    if urlsplit(path).scheme in OPENED:
+        return file_inventory(spark, path, recursive)
+    return hadoop_inventory(spark, path, recursive)
 
 
 def version_path(root: str, version: int) -> str:

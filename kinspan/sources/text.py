@@ -8,22 +8,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinspan.functions.select import select_where
 from kinspan.functions.text import RELATION_SEP, null_if_literal, split_trimmed
-from kinspan.operators.relations import (
+from kinspan.sources.inventory import lines_of_files
+from kinspan.sources.lines import (
     KEY1_INDEX,
     KEY2_INDEX,
     NOT_ENOUGH_FIELDS,
     TIME_INDEX,
     parse_relations,
 )
-from kinspan.operators.rows import select_where
 
 # Vertex fields by position (fixed values).
 VERTEX_FIELDS = (
-    "bjdrybh xm wwxm xb_dm xb key fake1 csrq gj_dm gj mz_dm mz jg_dm jg hjdqh hjdxz hjdpcsdm hjdpcs"
-    " xzdqh xzdxz xzdpcsdm xzdpcs gxdwjgdm gxdwjg ladwjgdm ladwjg zjlasj nrbjzdryksj zdrylbbj_dm"
-    " zdrylbbj zdryxl_dm zdryxl yxx_dm yxx"
-).split()
+    "bjdrybh", "xm", "wwxm", "xb_dm", "xb", "key", "fake1", "csrq", "gj_dm", "gj", "mz_dm", "mz",
+    "jg_dm", "jg", "hjdqh", "hjdxz", "hjdpcsdm", "hjdpcs", "xzdqh", "xzdxz", "xzdpcsdm", "xzdpcs",
+    "gxdwjgdm", "gxdwjg", "ladwjgdm", "ladwjg", "zjlasj", "nrbjzdryksj", "zdrylbbj_dm", "zdrylbbj",
+    "zdryxl_dm", "zdryxl", "yxx_dm", "yxx",
+)
 
 
 def read_relations(
@@ -39,7 +41,7 @@ def read_relations(
 
 
 def parse_vertices(
-    lines: DataFrame, fields: Sequence[str] = tuple(VERTEX_FIELDS), sep: str = "\t"
+    lines: DataFrame, fields: Sequence[str] = VERTEX_FIELDS, sep: str = "\t"
 ) -> DataFrame:
     """`value` lines -> one column per field, `extra` (fieldN -> text) and `reject_reason`.
 
@@ -66,7 +68,7 @@ def parse_vertices(
 def read_vertices(
     spark: SparkSession,
     path: str | list[str],
-    fields: Sequence[str] = tuple(VERTEX_FIELDS),
+    fields: Sequence[str] = VERTEX_FIELDS,
     sep: str = "\t",
 ) -> DataFrame:
     return parse_vertices(spark.read.text(path), fields, sep)
@@ -91,11 +93,19 @@ def read_vertex_pairs(
     return parse_vertex_pairs(spark.read.text(path), key_idx, name_idx, sep)
 
 
-def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
+def read_manifest(
+    spark: SparkSession, manifest: str, lines_per_split: int | None = None
+) -> DataFrame:
     """-> value, file_path: the lines of every file the manifest names, a path per line.
 
-    Only the paths pass through the driver, which has to plan the scan of these files anyway.
+    With `lines_per_split` the manifest's lines are dealt out by as many, and the task that
+    gets them opens their files itself, one after the other: no path passes the driver, and no file
+    is divided. It needs paths that executors open by themselves (local and mounted ones, s3, gs,
+    hdfs). Without it Spark plans a scan of all the files, for which the driver collects their paths.
+    Empty lines name nothing; a file that is not there is an error, one that is named twice is read twice.
     """
+    if lines_per_split is not None:
+        return _open_named(spark, manifest, lines_per_split)
     named = spark.read.text(manifest).select(F.trim("value").alias("path"))
     paths = [row.path for row in named.filter(F.col("path") != "").collect()]
     if not paths:
@@ -104,6 +114,21 @@ def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
     return lines.select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
+def _open_named(spark: SparkSession, manifest: str, lines_per_split: int) -> DataFrame:
+    if lines_per_split < 1:
+        raise ValueError(f"a split needs a line: {lines_per_split}")
+    named = read_keys(spark, manifest).select("seq", F.trim("key").alias("path"))
+    named = named.filter(F.col("path") != "")
+    # A split is a range of lines, so ranges are what is dealt out.
+    last = named.agg(F.max("seq")).first()[0]
+    splits = 0 if last is None else last // lines_per_split + 1
+    if splits == 0:
+        return spark.createDataFrame([], "value string, file_path string")
+    split = F.floor(F.col("seq") / lines_per_split).cast("int")
+    dealt = named.repartitionById(splits, split) if splits > 1 else named.coalesce(1)
+    return dealt.select("path").mapInArrow(lines_of_files, "value string, file_path string")
+
+
 def read_keys(spark: SparkSession, path: str) -> DataFrame:
     """-> seq, key: a key list with its line numbers from 0, in the order of the files' splits.
 

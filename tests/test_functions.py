@@ -40,8 +40,8 @@ def test_split_limits(spark):
 
 
 def test_printf(spark):
-    assert value(spark, X.printf("%010d 到哪", F.lit(144098))) == "0000144098 到哪"
-    assert value(spark, X.printf("%1$s haha %2$s", F.lit("abc"), F.lit("100"))) == "abc haha 100"
+    assert value(spark, X.printf("Nr. %08d – Straße", F.lit(2718))) == "Nr. 00002718 – Straße"
+    assert value(spark, X.printf("%2$s before %1$s", F.lit("noon"), F.lit("dawn"))) == "dawn before noon"
 
 
 def test_lengths_and_positions(spark):
