@@ -14,6 +14,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -94,7 +95,7 @@ class _Windows:
         if self.turns and self.tokens + tokens > self.budget:
             yield self.close()
         if not self.turns and self.begun:
-            system = [self.system] if self.system and self.system[1] + tokens <= self.budget else []
+            system = [self.system] if self.system else []
             room = self.budget - tokens - sum(n for _, n in system)
             history: list[tuple] = []
             for old, n in reversed(self.past):
@@ -143,39 +144,52 @@ def format_conversations(
     A row per window. `loss` are the ranges of code points that are targets: texts of assistant
     turns that are new in the window, without their marks. The first n_repeated of the n_turns turns
     repeat earlier ones: the system turn, if the conversation opens with one, and as many of the
-    newest turns as have `history` tokens at most and leave room for the next turn. A turn over
-    the budget is a window of its own, whole. Turns go by turn, then role and text, nulls first; rows
-    that repeat are turns each. Null texts and roles count as empty, rows without conv_id as one
-    conversation. A conversation passes through one task, which holds one of its windows at a time.
+    newest turns as have `history` tokens at most and leave room for the next turn. The system turn
+    stands in every window: where it and the next turn exceed the budget together, the window has
+    these two, whole, and nothing else, and so has more tokens than the budget. Without a system
+    turn, a turn over the budget is a window of its own, whole. Turns go by turn, then role and text,
+    nulls first; rows that repeat are turns each. Null texts and roles count as empty, rows without
+    conv_id as one conversation. Other columns are not read.
+
+    Tokens are counted where rows are read, whatever conversation they are of. The ordered pass over
+    a conversation is one task's, which holds one of its windows at a time and only closes windows.
     """
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer).encode
+        for batch in batches:
+            roles, texts = ([x or "" for x in batch.column(i).to_pylist()] for i in (2, 3))
+            made = [format_turn(r, t)[0] for r, t in zip(roles, texts, strict=True)]
+            if made:
+                tokens, _, _ = encode(pa.array(made, pa.large_string()))
+                counted = pa.array(np.asarray(tokens), pa.int64())
+                yield pa.RecordBatch.from_arrays([*batch.columns, counted], names=TURN_COLUMNS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = encoder(tokenizer).encode
         state: _Windows | None = None
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            roles, texts = (
-                [x or "" for x in batch.column(i).to_pylist()] for i in (2, 3)
-            )
-            made = [format_turn(r, t) for r, t in zip(roles, texts, strict=True)]
-            if not made:
-                continue
-            tokens, _, _ = count(pa.array([m[0] for m in made], pa.large_string()))
             rows = []
-            for conv_id, role, turn, n in zip(ids, roles, made, tokens.tolist(), strict=True):
+            for conv_id, _, role, text, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None or state.conv_id != conv_id:
                     if state is not None:
                         rows.append(state.close())
                     state = _Windows(conv_id, budget, history)
-                rows += state.add((*turn, role), n)
+                rows += state.add((*format_turn(role or "", text or ""), role or ""), n)
             yield _batch(rows)
         if state is not None:
             yield _batch([state.close()])
 
     narrow = turns.select(
-        turns["conv_id"].cast("long"), "turn", turns["role"].cast("string"), turns["text"].cast("string")
+        turns["conv_id"].cast("long"),
+        turns["turn"].cast("long"),
+        turns["role"].cast("string"),
+        turns["text"].cast("string"),
     )
-    return _by_conversation(narrow, "turn", "role", "text").mapInArrow(run, WINDOWS)
+    counted = narrow.mapInArrow(count, "conv_id bigint, turn bigint, role string, text string, tokens bigint")
+    return _by_conversation(counted, "turn", "role", "text").mapInArrow(run, WINDOWS)
+
+
+TURN_COLUMNS = ["conv_id", "turn", "role", "text", "tokens"]
 
 
 _ARROW = pa.schema(

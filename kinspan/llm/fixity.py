@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinspan.llm.tables import stored
@@ -98,12 +98,12 @@ def _record_end(content: bytes, at: int) -> int:
 
 
 def record_digests(placed: DataFrame) -> DataFrame:
-    """file, offset, length, page_id, sha256 -> the same with digest in place of sha256.
+    """file, offset, length, page_id, sha256 -> the same and digest.
 
     The digest is over offset, length and hash, so a record in another place is another one.
     """
     place = F.concat_ws(":", "offset", "length", "sha256")
-    return placed.select("file", "offset", "length", "page_id", F.sha2(place, 256).alias("digest"))
+    return placed.select("file", "offset", "length", "page_id", "sha256", F.sha2(place, 256).alias("digest"))
 
 
 def merkle_tree(digests: DataFrame, height: int, span: int = RANGE, fanout: int = FANOUT) -> DataFrame:
@@ -141,14 +141,19 @@ def tree_height(*replicas: DataFrame, span: int = RANGE, fanout: int = FANOUT) -
 def audit(first: DataFrame, second: DataFrame, span: int = RANGE, fanout: int = FANOUT) -> DataFrame:
     """Two replicas (as of record_digests) -> file, offset, length, page_id, status.
 
-    A row per record in which the replicas differ: `changed` (another digest at the same place),
-    `missing` (only in the first) or `extra` (only in the second). Files that one replica lacks are
-    missing or extra in full. Records at the same place of the same file count as one, the one with
-    the least digest.
+    A row per record in which the replicas differ: `changed` (another content of the same page),
+    `missing` (only in the first) or `extra` (only in the second); offset and length are those of the
+    first replica where it has the record. Files that one replica lacks are missing or extra in full.
+    Records at the same place of the same file count as one, the one with the least digest.
+
+    A record lost, put in or lengthened moves all later ones of its file, so within ranges that
+    differ records are matched by their content first, wherever they stand in the file; what is left
+    is matched by page, then by place. Of records alike in content, or of one page, the first meet
+    the first. Records without a page id are matched like those of one page.
     """
     unique = []
     for replica in (first, second):
-        least = F.min(F.struct("digest", "length", "page_id")).alias("r")
+        least = F.min(F.struct("digest", "length", "page_id", "sha256")).alias("r")
         unique.append(stored(replica.groupBy("file", "offset").agg(least).select("file", "offset", "r.*"), "records"))
     height = tree_height(*unique, span=span, fanout=fanout)
     trees = [merkle_tree(r, height, span, fanout) for r in unique]
@@ -164,15 +169,42 @@ def audit(first: DataFrame, second: DataFrame, span: int = RANGE, fanout: int =
         met = sides[0].join(sides[1], ["file", "node"], "full")
         unlike = met.filter(~F.col("one").eqNullSafe(F.col("two")))
         differing = stored(unlike.select("file", F.col("node").alias("parent")), "differing")
-    found = []
-    for replica, name in zip(unique, ("one", "two"), strict=True):
-        inside = replica.withColumn("parent", F.floor(F.col("offset") / span))
-        inside = inside.join(differing, ["file", "parent"], "left_semi")
-        found.append(inside.select("file", "offset", F.struct("digest", "length", "page_id").alias(name)))
-    met = found[0].join(found[1], ["file", "offset"], "full")
-    status = (
-        F.when(F.col("two").isNull(), "missing").when(F.col("one").isNull(), "extra").otherwise("changed")
-    )
-    unlike = met.filter(~F.col("one.digest").eqNullSafe(F.col("two.digest")))
-    seen = F.coalesce("one", "two")
-    return unlike.select("file", "offset", seen["length"].alias("length"), seen["page_id"].alias("page_id"), status.alias("status"))
+    left = [
+        stored(
+            replica.withColumn("parent", F.floor(F.col("offset") / span)).join(
+                differing, ["file", "parent"], "left_semi"
+            ).select("file", "offset", "length", "page_id", "sha256"),
+            "suspects",
+        )
+        for replica in unique
+    ]
+    left = _unmatched(*left, [F.col("sha256")])
+    paired, left = _matched(*left, [F.isnull("page_id"), F.coalesce("page_id", F.lit(0))])
+    placed, left = _matched(*left, [F.col("offset")])
+    columns = ["file", "offset", "length", "page_id"]
+    found = paired.unionByName(placed).select(*columns, F.lit("changed").alias("status"))
+    for rest, status in zip(left, ("missing", "extra"), strict=True):
+        found = found.unionByName(rest.select(*columns, F.lit(status).alias("status")))
+    return found
+
+
+def _counted(records: DataFrame, by: list[Column]) -> DataFrame:
+    """`records` with _by, what they are matched by, and _nth, their number among those of a file alike in it."""
+    key = F.struct(*(c.alias(f"k{i}") for i, c in enumerate(by)))
+    keyed = records.withColumn("_by", key)
+    return keyed.withColumn("_nth", F.row_number().over(Window.partitionBy("file", "_by").orderBy("offset")))
+
+
+def _unmatched(one: DataFrame, two: DataFrame, by: list[Column]) -> list[DataFrame]:
+    """What is left of two sides without the records that match."""
+    sides, columns = [_counted(s, by) for s in (one, two)], one.columns
+    on = ["file", "_by", "_nth"]
+    pairs = [(sides[0], sides[1]), (sides[1], sides[0])]
+    return [stored(a.join(b.select(*on), on, "left_anti").select(*columns), "unmatched") for a, b in pairs]
+
+
+def _matched(one: DataFrame, two: DataFrame, by: list[Column]) -> tuple[DataFrame, list[DataFrame]]:
+    """-> the first side of the records that match, and what is left of both sides."""
+    sides, on = [_counted(s, by) for s in (one, two)], ["file", "_by", "_nth"]
+    met = sides[0].join(sides[1].select(*on), on, "left_semi").select(*one.columns)
+    return stored(met, "matched"), _unmatched(one, two, by)

@@ -44,13 +44,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged(pages: DataFrame) -> DataFrame:
-    """A replica of `pages`: some first characters changed, the last page of some files lost."""
+    """A replica of `pages`: some pages lost, amid their files or at the end, others changed or longer."""
     file = F.floor(F.col("page_id") / FILE_PAGES)
     last = pages.select("page_id").groupBy(file.alias("file")).agg(F.max("page_id").alias("page_id"))
     lost = last.filter(F.pmod("file", F.lit(5)) == 0).select("page_id")
-    hit = (F.col("page_id") * 7919 % 97 == 5) & (F.length("html") > 0)
+    full = F.length("html") > 0
+    hit = (F.col("page_id") * 7919 % 97 == 5) & full
     changed = F.when(hit, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
-    return lookup_join(pages, lost, "page_id", "left_anti").withColumn("html", changed)
+    longer = F.when((F.col("page_id") % 53 == 11) & full, F.concat(changed, F.lit("xx"))).otherwise(changed)
+    kept = pages.filter(F.coalesce(F.col("page_id") % 41 != 7, F.lit(True)))
+    return lookup_join(kept, lost, "page_id", "left_anti").withColumn("html", longer)
 
 
 def op6_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,12 +144,13 @@ ORACLES: dict[str, str] = {
           SELECT page_id, file, CAST(strlen(record) AS BIGINT) AS length,
             CAST(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id) - strlen(record) AS BIGINT)
               AS "offset",
-            page_id = max(page_id) OVER (PARTITION BY file) AND file % 5 = 0 AS lost, html
+            page_id % 41 = 7 OR (page_id = max(page_id) OVER (PARTITION BY file) AND file % 5 = 0) AS lost, html
           FROM records)
         SELECT file, "offset", length, page_id,
           CASE WHEN lost THEN 'missing' ELSE 'changed' END AS status
         FROM placed
-        WHERE lost OR (page_id * 7919 % 97 = 5 AND html <> '' AND html[1] <> '#')""",
+        WHERE lost OR (page_id * 7919 % 97 = 5 AND html <> '' AND html[1] <> '#')
+          OR (page_id % 53 = 11 AND html <> '')""",
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

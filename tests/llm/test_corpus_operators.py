@@ -224,6 +224,37 @@ def test_fixity_audit(spark):
     assert {r.status for r in M.audit(empty, two).collect()} == {"extra"}
 
 
+def test_lost_and_lengthened_records_shift_no_others(spark):
+    pages = [(i, "http://x", f"<p>{i}" + "y" * (i * 37 % 90)) for i in range(100)]
+    pages += [(200, "u", "same"), (200, "u", "same"), (200, "u", "same"), (None, "v", "q"), (None, "v", "r")]
+    schema = "page_id bigint, url string, html string"
+
+    def replica(rows):
+        df = spark.createDataFrame([(*r, "x", "d", 1) for r in rows], f"{schema}, sha256 string, digest string, node int")
+        return M.record_digests(M.in_files(M.warc_records(df, file_pages=1000)))
+
+    one = replica(pages)
+    offsets = {r.page_id: r.offset for r in one.filter("page_id < 100").collect()}
+
+    def found(rows, **shape):
+        return Counter((r.page_id, r.offset, r.status) for r in M.audit(one, replica(rows), **shape).collect())
+
+    for shape in ({}, {"span": 64, "fanout": 2}):
+        lost = [p for p in pages if p[0] != 50]
+        assert found(lost, **shape) == Counter([(50, offsets[50], "missing")])
+        longer = [(i, u, h + "zz" * (i in (10, 51))) for i, u, h in lost]
+        assert found(longer, **shape) == Counter(
+            [(50, offsets[50], "missing"), (10, offsets[10], "changed"), (51, offsets[51], "changed")]
+        )
+        more = found([*pages[:30], (29, "new", "between"), *pages[30:]], **shape)
+        assert [(k[0], k[2], n) for k, n in more.items()] == [(29, "extra", 1)]
+        fewer = found([*pages[:100], *pages[101:]], **shape)
+        assert [(k[0], k[2], n) for k, n in fewer.items()] == [(200, "missing", 1)]
+        assert [(k[0], k[2], n) for k, n in found([p for p in pages if p[2] != "r"], **shape).items()] == [
+            (None, "missing", 1)
+        ]
+
+
 def test_warc_files_are_split_into_their_records(spark, tmp_path):
     rows = [(i, f"http://x/{i}", f"<p>ü{i}\r\n\r\n</p>" * i) for i in range(5)]
     records = M.warc_records(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
@@ -269,12 +300,31 @@ def test_chat_windows_read_back(spark, budget, history):
     got = {r.conv_id: tuple(r)[1:5] for r in C.read_back(windows).collect()}
     assert got == plain_chat(rows)
     for w in windows.collect():
-        assert w.n_tokens <= budget or w.n_turns == 1
+        # Over the budget is a turn alone, or with the system turn that stands in every window.
+        alone = w.n_turns - w.n_repeated == 1 and w.n_repeated <= 1
+        assert w.n_tokens <= budget or (alone and (not w.n_repeated or next(C.parse(w.text))[0] == "system"))
         assert w.n_repeated < w.n_turns
         assert len(list(C.parse(w.text))) == w.n_turns
     assert C.read_back(C.format_conversations(turns.limit(0))).collect() == []
 
 
+def test_every_window_has_the_system_turn(spark):
+    said = [("system", 600), ("user", 300), ("assistant", 500), ("user", 450), ("assistant", 1200), ("user", 3)]
+    rows = [(c, t, role, f"{role} " + "word " * n) for c in (1, 2) for t, (role, n) in enumerate(said)]
+    rows.append((2, 9, None, None))
+    turns = spark.createDataFrame(
+        [(*r, "x", "y") for r in rows],
+        "conv_id bigint, turn bigint, role string, text string, tokens string, window string",
+    )
+    windows = C.format_conversations(turns).collect()
+    assert len(windows) > 4
+    for w in windows:
+        roles = [role for role, _, _ in C.parse(w.text)]
+        assert roles[0] == "system" and roles.count("system") == 1
+    got = {r.conv_id: tuple(r)[1:5] for r in C.read_back(C.format_conversations(turns)).collect()}
+    assert got == plain_chat(rows)
+
+
 @pytest.mark.parametrize("text", [t for t in ODD if t])
 def test_escapes_are_reversible(text):
     assert C.unescape(C.escape(text)) == text
