@@ -181,7 +181,7 @@ def plain_licenses(text):
 
 
 def test_license_scan(spark, documents):
-    mit = dict((label, text) for label, text in L.GRANTS)["mit"]
+    mit = next(grant[1] for grant in L.GRANTS if grant[0] == "mit")
     edited = mit.replace("free of charge", "entirely free of any charge").replace("copy", "copies")
     texts = [
         "Released under the MIT License. See the Apache\tLicense, and the MIT license",
@@ -209,6 +209,32 @@ def test_license_scan(spark, documents):
     assert L.license_scan(documents([])).collect() == []
 
 
+def test_licenses_are_told_from_their_neighbours(spark, documents):
+    kinds = ["BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"]
+    lines = {f"Licensed under CC {k} 4.0.": f"cc-{k.lower()}" for k in kinds}
+    names = ["", "-ShareAlike", "-NoDerivatives", "-NonCommercial", "-NonCommercial-ShareAlike", "-NonCommercial-NoDerivatives"]
+    for k, name in zip(kinds, names, strict=True):
+        lines[f"This page is licensed under a Creative Commons Attribution{name} 4.0 International License."] = f"cc-{k.lower()}"
+    lines["Licensed under CC BY-ND 4.0 only, whatever others say of it"] = "cc-by-nd"
+    # Two licenses in one text, and words of a license that name none.
+    lines["Licensed under CC BY 4.0. The pictures are licensed under CC BY-NC 4.0."] = "cc-by,cc-by-nc"
+    lines["licensed under cc 4 0 by nc"] = ""
+    for label, text, *_ in L.GRANTS:
+        labels = {label}
+        if "general public license" in text.replace("lesser ", ""):
+            labels.add("gpl")  # the phrase stands in it
+        if "apache license" in text:
+            labels.add("apache")
+        if label.startswith(("gpl-", "lgpl-")):
+            labels |= {"gpl"}
+        lines[f"In full: {text.upper()}. End."] = ",".join(sorted(labels))
+    rows = list(enumerate(lines))
+    got = {r.doc_id: (r.labels, r.score) for r in L.license_scan(documents(rows)).collect()}
+    wrong = {lines[t]: (got[i], t[:90]) for i, t in rows if got[i][0] != lines[t]}
+    assert not wrong
+    assert all(got[i][1] == 1.0 for i, t in rows if lines[t])
+
+
 QUESTION = (
     "When Anna finally drives away from home she makes 120 km in 2 hours and then rests while her brother Peter walks slowly along the"
     " river for 3 miles. How far did Anna travel before the long break at the old mill house?"
