@@ -5,74 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinspan.llm import queries
-from kinspan.llm.decontaminate import contaminated
-from kinspan.llm.exact_dedup import digest, exact_dedup
-from kinspan.llm.ngram_join import ngram_classes
+from kinspan.llm import queries, stages
 from kinspan.llm.packing import pack, tokenized_pieces
-from kinspan.llm.quality import fit, labelled_sample, score
+from kinspan.llm.quality import fit, labelled_sample
 from kinspan.session import fresh_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is a half or more."""
-    model = fit(labelled_sample(docs, queries.table(spark, sf_dir, "labels")))
-    return score(docs, model, "score").filter("score >= 0.5").select(*docs.columns)
+    """Documents whose quality score is a half or more, see `stages.keep_good`.
 
+    A text is scored by itself, a null one as an empty one; without labels every score is a half, so
+    all documents stay. The model learns from at most 4,000 labelled rows.
+    """
+    sample = labelled_sample(docs.select("doc_id", "text"), queries.table(spark, sf_dir, "labels"))
+    return stages.keep_good(docs, fit(sample))
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id; of rows that repeat it, one."""
-    kept = exact_dedup(docs).filter("kept").select("doc_id", "text_sha256")
-    marked = docs.withColumn("text_sha256", F.lower(F.hex(digest("text"))))
-    kept = kept.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_sha256", "_sha")
-    same = F.col("text_sha256") == F.col("_sha")
-    same &= F.col("doc_id").eqNullSafe(F.col("_id"))
-    return (
-        marked.join(kept, same, "left_semi")
-        .dropDuplicates(["doc_id", "text_sha256"])
-        .select(*docs.columns)
-    )
 
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id, see `stages.keep_one_of_equal`.
 
-def by_text(docs: DataFrame) -> DataFrame:
-    """`docs` with _key, a hash of the text, as ids may be null or repeated."""
-    return docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    Null and empty texts are equal, and of rows that repeat an id and its text one stays.
+    """
+    return stages.keep_one_of_equal(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked documents the one with the smallest id.
-
-    Rows without an id come last, and of rows that share an id the smallest hash of the text comes
-    first. Rows alike in id and text stay or go together; texts without words stay.
-    """
-    keyed = by_text(docs)
-    classes = ngram_classes(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    classes = classes.filter("n_ngrams > 0").groupBy(F.col("doc_id").alias("_key"))
-    classes = classes.agg(F.min("class_id").alias("_class"))
-    smallest = keyed.groupBy("_key").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id")).alias("_id"))
-    first = classes.join(smallest, "_key").groupBy("_class")
-    first = first.agg(F.min(F.struct("_id", "_key")).alias("_first"))
-    first = first.select(F.col("_first._id.doc_id").alias("_id"), F.col("_first._key").alias("_sign"))
-    same = F.col("_key") == F.col("_sign")
-    same &= F.col("doc_id").eqNullSafe(F.col("_id"))
-    rows = keyed.select("doc_id", "_key", "text").filter(r"text rlike '[^\\t-\\r ]'")
-    rest = rows.select("doc_id", "_key").distinct().join(first, same, "left_anti")
-    rest = rest.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_sign"))
-    return keyed.join(rest, same, "left_anti").select(*docs.columns)
+    """Of each class of linked documents the one with the smallest id, see `stages.keep_one_of_near`."""
+    return stages.keep_one_of_near(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark, judged by their text, whatever their id."""
-    keyed = by_text(docs)
-    texts = keyed.select(F.col("_key").alias("doc_id"), "text")
-    found = contaminated(texts, queries.table(spark, sf_dir, "benchmark"))
-    found = found.select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
+    """Documents without a passage of the benchmark, see `stages.keep_clean`."""
+    return stages.keep_clean(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All that is left, in sequences of at most 4,096 tokens: a row per piece, without its ids."""
-    pieces = tokenized_pieces(docs)
+    """All that is left, in sequences of at most 4,096 tokens: a row per piece, without its ids.
+
+    A null or empty text is one piece, the token that ends a document; long texts have many. Rows that
+    repeat an id are documents each. Columns beyond doc_id and text are not read.
+    """
+    pieces = tokenized_pieces(docs.select("doc_id", "text"))
     return pack(
         pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     )
