@@ -76,7 +76,7 @@ GRANTS = (
     ),
     *(
         (
-            f"{label}-{version}",
+            f"{label}-{version.replace(' ', '.')}",
             "this program is free software you can redistribute it and or modify it under the terms"
             f" of the gnu {name} public license as published by the free software foundation either"
             f" version {version} of the license or at your option any later version this program is"
