@@ -81,7 +81,7 @@ def test_schema_descriptor():
         for i, name in enumerate(X.VERTEX_FIELDS)
     ]
     schema = D.schema_from_json(json.dumps(descriptor[::-1]))
-    assert schema.names == X.VERTEX_FIELDS and len(schema) == 34
+    assert tuple(schema.names) == X.VERTEX_FIELDS and len(schema) == 34
     assert D.primary_key(schema) == ["key"] and schema.names.index("key") == 5
     assert not schema["key"].nullable and schema["xm"].metadata["searchType"] == "TERM_1"
     with pytest.raises(ValueError):
