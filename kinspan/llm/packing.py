@@ -148,7 +148,7 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     local = F.row_number().over(Window.partitionBy(length, part).orderBy(row)) - 1
     ranked = (
         table.withColumn(row, local)
-        .join(firsts, [length, part])
+        .join(firsts.hint("merge"), [length, part])  # lies as the window left it: no shuffle, no broadcast
         .withColumn(rank, F.col(rank) + F.col(row))
         .select(*pieces.columns, rank)
     )
