@@ -184,6 +184,29 @@ def test_hops_against_brute_force(spark, group_rows):
     assert average == pytest.approx(sum(n * size for n, size in sizes.values()) / 4)
 
 
+def test_hops_name_seeds_without_moving_pairs(spark, no_broadcast):
+    names, pairs = random_graph(9)
+    df = T.k_hop(keys(spark, *names), keys(spark, *names), edges(spark, *pairs), 2)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in text and "Exchange" not in text.split("Generate")[0]
+
+
+def test_near_seeds_share_words_and_sets_keep_all_bits(spark):
+    known = keys(spark, *(str(i) for i in range(1000))).withColumn("listed", F.lit(1))
+    placed = T._numbered_seeds(known.repartition(7)).collect()
+    assert len({(r.word, r.bit) for r in placed}) == 1000
+    by_word = {w: [int(r.key) for r in placed if r.word == w] for w in {r.word for r in placed}}
+    assert all(max(near) - min(near) < 64 for near in by_word.values())
+    words = [(v, w, b) for v in "ab" for w in (0, 5, 16383, 16384, 1 << 20) for b in (1, 1 << 62, -(1 << 63), -1)]
+    reached = spark.createDataFrame(words, "v string, word bigint, bits bigint")
+    whole = reached.groupBy("v", "word").agg(F.bit_or("bits").alias("bits"))
+    for df in (reached.filter("bits <> -1").groupBy("v", "word").agg(F.bit_or("bits").alias("bits")), whole):
+        sets = T._as_sets(df)
+        assert sets.count() == 2 * 3
+        back = T._as_words(sets).groupBy("v", "word").agg(F.bit_or("bits").alias("bits"))
+        assert rows(back) == rows(df)
+
+
 def test_hops_follow_one_label(spark):
     graph = edges(spark, ("a", "b")).unionByName(edges(spark, ("b", "c"), label="m"))
     vertices = keys(spark, *"abc")
