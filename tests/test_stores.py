@@ -194,6 +194,32 @@ def test_hot_keys_are_stored_apart(spark, keyed):
     assert keyed._cold(spark).filter("k = 'hot' OR k IS NULL").count() == 0
 
 
+def test_storing_runs_its_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def watched(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), watched("id").alias("x"))
+    table = K.store_keyed(df, f"{tmp_path}/once", "k", ["x"], buckets=2)
+    assert table.rows(spark).count() == 1000
+    assert seen.value == 1000
+
+
+def test_a_lookup_writes_only_what_it_reads(spark, small_dir, tmp_path):
+    from kinspan.plans import inputs
+
+    valid = inputs.valid(spark, small_dir)
+    stored = L.store_two_level(valid, "l", f"{tmp_path}/events", 1, 2, tables=["events"])
+    assert stored.summary is None and stored.ends is None and stored.events.rows(spark).count() > 0
+    assert "isnotnull(split(" not in plan(L._ends(valid, "l"))
+    summary = R.summary_edges(valid, "l").select("src", "dst", "edge_id")
+    ends = G.incidence(summary).select("v", "edge_id")
+    assert rows(L._ends(valid, "l")) == rows(ends)
+
+
 def test_an_empty_keyed_table(spark, tmp_path):
     K.store_keyed(facts(spark).limit(0), f"{tmp_path}/none", "k", buckets=2)
     table = K.open_keyed(spark, f"{tmp_path}/none")
