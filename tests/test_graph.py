@@ -121,6 +121,18 @@ def clustering_by_hand(pairs, seeds, drop_loops):
     return out
 
 
+def test_ranks_have_no_gaps_and_fit_an_int(spark):
+    names = [f"n{i:03}" for i in range(300)]
+    pairs = spark.createDataFrame(
+        [(names[i], names[j]) for i in range(300) for j in (i + 1, i + 7, 299) if i < j < 300], "a string, b string"
+    )
+    ranks = T._ranked(pairs.distinct().repartition(5))
+    assert dict(ranks.dtypes)["id"] == "int"
+    found = sorted((r.id, r.degree, r.key) for r in ranks.collect())
+    assert [i for i, _, _ in found] == list(range(300))
+    assert [(d, k) for _, d, k in found] == sorted((d, k) for _, d, k in found)
+
+
 def random_graph(seed):
     """A dense core, a hub that joins everything, loops and parallel edges."""
     rng = random.Random(seed)
