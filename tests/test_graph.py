@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from itertools import product
 
 import pytest
@@ -219,6 +220,67 @@ def test_near_seeds_share_words_and_sets_keep_all_bits(spark):
         assert rows(back) == rows(df)
 
 
+def test_hops_by_batches_of_seeds(spark, monkeypatch):
+    draw = random.Random(4)
+    names = [f"n{i}" for i in range(200)]
+    pairs = [tuple(draw.choices(names, k=2)) for _ in range(500)] + [("n0", n) for n in names[:120]]
+    near = neighbor_sets(pairs)
+    graph, vertices = edges(spark, *pairs), keys(spark, *names, "alone")
+    sent, batches = [], T._batches
+    monkeypatch.setattr(T, "BATCH_ENTRIES", 15_000)
+    monkeypatch.setattr(T, "GROUP_ROWS", 100)
+    monkeypatch.setattr(T, "_batches", lambda *a: sent.append(batches(*a)) or sent[-1])
+    for hops in (2, 3):
+        expected = {}
+        for s in [*names, "alone"]:
+            frontier = {s}
+            for _ in range(hops):
+                frontier = {y for x in frontier for y in near.get(x, ())}
+            expected[s] = frontier
+        sent.clear()
+        if hops == 2:
+            got = T.k_hop(vertices, vertices, graph, hops)
+            assert rows(got) == in_order({(s, v) for s, reached in expected.items() for v in reached})
+        sizes = {r.seed: r.set_size for r in T.k_hop_sizes(vertices, vertices, graph, hops).collect()}
+        assert sizes == {s: len(reached) for s, reached in expected.items()}
+        assert max(map(len, sent)) > 1
+        for found in (b for b in sent if len(b) > 1):
+            assert found[0][0] == 0 and all(b[0] == a[1] + 1 for a, b in zip(found, found[1:], strict=False))
+
+
+def test_batches_leave_no_shuffle_files(spark, monkeypatch):
+    names, pairs = random_graph(9)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    graph, vertices = edges(spark, *pairs), keys(spark, *names)
+    shuffles = lambda: {f.split("_")[1] for f in disk.getAllFiles().mkString(" ").split() if "/shuffle_" in f}
+    runs, tidy = [], T.reliable_and_tidy
+
+    def run(df):
+        before, done = shuffles(), tidy(df)
+        for _ in range(100):  # files go a little later
+            if not (left := shuffles() - before):
+                break
+            time.sleep(0.1)
+        runs.append(left)
+        return done
+
+    monkeypatch.setattr(T, "BATCH_ENTRIES", 50)
+    monkeypatch.setattr(T, "reliable_and_tidy", run)
+    T.k_hop_sizes(vertices, vertices, graph, 2)
+    assert len(runs) > 5 and not any(runs)
+
+
+def test_neighbors_are_numbered_once_in_arrays_of_some_length(spark, monkeypatch):
+    monkeypatch.setattr(T, "GROUP_ROWS", 20)
+    pairs = [("hub", f"x{i:03}") for i in range(200)] + [("x000", "hub"), ("x001", "x001"), (None, "x002")]
+    numbers, near = T._neighbor_arrays(edges(spark, *pairs).select("src", "dst"))
+    key = {r.id: r.key for r in numbers.collect()}
+    assert sorted(key) == list(range(201)) and dict(near.dtypes) == {"v": "int", "far": "array<int>"}
+    found = [(key[r.v], key[x], len(r.far)) for r in near.collect() for x in r.far]
+    assert {f[:2] for f in found} == {e for a, b in pairs if a for e in ((a, b), (b, a))} and len(found) == 401
+    assert max(f[2] for f in found) < 60
+
+
 def test_hops_follow_one_label(spark):
     graph = edges(spark, ("a", "b")).unionByName(edges(spark, ("b", "c"), label="m"))
     vertices = keys(spark, *"abc")
