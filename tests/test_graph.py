@@ -248,6 +248,19 @@ def test_hops_by_batches_of_seeds(spark, monkeypatch):
             assert found[0][0] == 0 and all(b[0] == a[1] + 1 for a, b in zip(found, found[1:], strict=False))
 
 
+def test_average_of_hops_by_batches_of_seeds(spark, monkeypatch):
+    pairs = [(str(i), str((i + 1) % 150)) for i in range(150)] + [("0", str(i)) for i in range(0, 150, 3)]
+    near = neighbor_sets(pairs)
+    seeds = [str(i) for i in range(150) for _ in range(1 + i % 2)]
+    total = sum(len({y for x in near[s] for y in near[x]}) for s in seeds)
+    graph, vertices = edges(spark, *pairs), keys(spark, *near)
+    sent, batches = [], T._batches
+    monkeypatch.setattr(T, "BATCH_ENTRIES", 2_000)
+    monkeypatch.setattr(T, "_batches", lambda *a: sent.append(batches(*a)) or sent[-1])
+    average = T.k_hop_average(keys(spark, *seeds), vertices, graph, 2).first().avg_set_size
+    assert average == pytest.approx(total / len(seeds)) and max(map(len, sent)) > 1
+
+
 def test_batches_leave_no_shuffle_files(spark, monkeypatch):
     names, pairs = random_graph(9)
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
